@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The line terminators, and the characters Java's String.trim removes (up to U+0020).
-NEWLINE = r"\r\n|\r|\n"
-TRIMMED = r"^[\x00-\x20]+|[\x00-\x20]+$"
-MIN_LOC_CHARS = 3
+# Fixed values.
 DEFAULT_ERROR_MESSAGE = "Failed to analyze file."
 UNKNOWN_VERSION = "0.0.0-unknown"
 
-# A line counts when its trimmed length is at least MIN_LOC_CHARS UTF-16 units. Each alternative spans
-# from the first to the last visible character of one line, so a counted line matches exactly once. The
-# last two are lines of two characters of which one lies outside the basic plane (two units).
+# A line counts when it has at least three UTF-16 units after trimming all characters up to U+0020. Each
+# alternative spans from the first to the last visible character of one line, so a counted line matches
+# exactly once. The last two are lines of two characters, one of them outside the basic plane (two units).
 _LOC_LINE = (
     r"[^\x00-\x20][^\r\n]+[^\x00-\x20]"
     r"|[\x{10000}-\x{10FFFF}][^\x00-\x20]"
@@ -21,19 +18,29 @@ _LOC_LINE = (
 )
 
 
-def java_trim(col: Column) -> Column:
-    return F.regexp_replace(col, TRIMMED, "")
+def unix_newlines(text: Column) -> Column:
+    """The text with ``\\n`` as only line terminator and none at the end."""
+    plain = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.when(F.endswith(plain, F.lit("\n")), F.substr(plain, F.lit(1), F.length(plain) - 1)).otherwise(plain)
 
 
 def split_lines(text: Column) -> Column:
-    """Lines of a text; a final line terminator does not open another line."""
-    parts = F.split(text, NEWLINE, -1)
-    return F.slice(parts, F.lit(1), F.size(parts) - (F.element_at(parts, -1) == "").cast("int"))
+    """Lines of a text; a final line terminator does not open another line.
 
+    Splitting on one plain character takes a path without regex.
+    """
+    return F.split(unix_newlines(text), "\n", -1)
 
-def normalize_line(line: Column) -> Column:
-    """Trim and collapse runs of white space, so re-indented copies compare equal."""
-    return F.regexp_replace(java_trim(line), r"[\x00-\x20]+", " ")
+
+# White space within a line that collapsing changes: anything but a single space.
+_RUNS = r"[\x00-\x09\x0b-\x20](?:[\x00-\x09\x0b-\x20]+|(?<! ))"
+
+
+def normalize_lines(text: Column) -> Column:
+    """The text with every line trimmed and its white space collapsed, so re-indented copies compare equal."""
+    collapsed = F.regexp_replace(unix_newlines(text), _RUNS, " ")
+    left = F.replace(collapsed, F.lit(" \n"), F.lit("\n"))
+    return F.trim(F.replace(left, F.lit("\n "), F.lit("\n")))
 
 
 def count_loc(text: Column) -> Column:

@@ -138,25 +138,26 @@ def _line_windows(files: DataFrame, size: int) -> DataFrame:
     Computed inside each file row, so no line is shuffled. ``next`` is the hash one line further down.
     Windows of blank lines only are left out.
     """
-    norm = F.transform(tx.split_lines(F.col("text")), tx.normalize_line)
-    counted = F.transform(
-        norm,
-        lambda line: F.struct(
-            F.md5(line).alias("h"),
-            (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + (line != "").cast("int")).alias("n"),
-        ),
+    split = files.select(*_FILE, F.split(tx.normalize_lines(F.col("text")), "\n", -1).alias("_lines"))
+
+    def n_tokens(line: Column) -> Column:
+        spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+        return spaces + (line != "").cast("int")
+
+    lined = split.select(
+        *_FILE, F.transform("_lines", F.md5).alias("_hashes"), F.transform("_lines", n_tokens).alias("_tokens")
     )
-    starts = F.sequence(F.lit(1), F.size("_lines") - size + 1)
+    n_windows = F.size("_hashes") - size + 1
+    starts = F.when(n_windows > 0, F.sequence(F.lit(1), n_windows))
 
     def window(i: Column) -> Column:
-        part = F.slice(F.col("_lines"), i, F.lit(size))
-        joined = F.array_join(F.transform(part, lambda x: x["h"]), "")
-        tokens = F.aggregate(part, F.lit(0), lambda acc, x: acc + x["n"])
+        tokens = F.aggregate(F.slice("_tokens", i, F.lit(size)), F.lit(0), lambda acc, n: acc + n)
         return F.struct(
-            F.unhex(F.md5(joined)).alias("h"), F.get(part, F.lit(0))["n"].alias("first_tokens"), tokens.alias("tokens")
+            F.unhex(F.md5(F.array_join(F.slice("_hashes", i, F.lit(size)), ""))).alias("h"),
+            F.get("_tokens", i - 1).alias("first_tokens"),
+            tokens.alias("tokens"),
         )
 
-    lined = files.select(*_FILE, counted.alias("_lines")).filter(F.size("_lines") >= size)
     windows = lined.select(*_FILE, F.transform(starts, window).alias("_windows"))
 
     def with_next(w: Column, i: Column) -> Column:

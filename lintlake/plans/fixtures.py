@@ -11,7 +11,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lintlake.functions.scale import stage
 from lintlake.operators.analysers import MetricRule
+from lintlake.sources.tables import read_table
 
 _DIGIT = "cast(right(project, 1) as int)"
 
@@ -177,7 +179,8 @@ METRIC_RULES = {
     "Ruby": MetricRule(comment="^[A-L]", method="[.]$", type_="^[M-Z].*,", branch="der|und"),
 }
 
-GIVEN = ["documents", "pages", "part", "lineitem", "orders"]
+# Given tables with the column that tells their rows apart.
+GIVEN = {"documents": "doc_id", "pages": "page_id", "part": "p_partkey", "lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
 def references(sql: str) -> list[str]:
@@ -195,11 +198,13 @@ class Fixtures:
     def view(self, name: str) -> DataFrame:
         if name not in self._views:
             if name in GIVEN:
-                self._views[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._views[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet", GIVEN[name])
             else:
                 sql = VIEWS[name]
                 inputs = {ref: self.view(ref) for ref in references(sql)}
-                self._views[name] = self.spark.sql(sql, **inputs) if inputs else self.spark.sql(sql.format())
+                frame = self.spark.sql(sql, **inputs) if inputs else self.spark.sql(sql.format())
+                # The project list is a small table of its own that many configuration views start from.
+                self._views[name] = stage(frame, name) if name == "projects" else frame
         return self._views[name]
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -54,24 +54,62 @@ LANGUAGE_SUFFIXES: dict[str, list[str]] = {
 
 def known_languages(languages: Column, vocabulary: Sequence[str] = tuple(LANGUAGE_SUFFIXES)) -> Column:
     """Drop names outside the vocabulary (and repeats)."""
-    return F.array_intersect(languages, F.array(*[F.lit(v) for v in vocabulary]))
+    return F.array_intersect(languages, F.expr(f"array({', '.join(map(_quoted, vocabulary))})"))
+
+
+def _simple(suffix: str) -> bool:
+    """A dot and a word: ends a path exactly if it is what follows the path's last dot."""
+    return suffix.startswith(".") and "." not in suffix[1:] and "/" not in suffix
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _literal_map(entries: Mapping[str, str]) -> Column:
+    """A constant map from strings to SQL expressions, parsed in one go."""
+    return F.expr("map(" + ", ".join(f"{_quoted(key)}, {value}" for key, value in entries.items()) + ")")
+
+
+def _after_last_dot(path: Column) -> Column:
+    return F.concat(F.lit("."), F.substring_index(path, ".", -1))
+
+
+def _others(suffixes: Mapping[str, Sequence[str]]) -> list[tuple[str, str]]:
+    return [(s, name) for name, ss in sorted(suffixes.items()) for s in ss if not _simple(s)]
 
 
 def builtin_language(path: Column, suffixes: Mapping[str, Sequence[str]] = LANGUAGE_SUFFIXES) -> Column:
-    """The language with the longest matching suffix, ties by language name; null if none matches."""
-    pairs = sorted(((s, lang) for lang, ss in suffixes.items() for s in ss), key=lambda p: (-len(p[0]), p[1]))
-    return F.coalesce(*[F.when(F.endswith(path, F.lit(s)), F.lit(lang)) for s, lang in pairs])
+    """The language with the longest matching suffix, ties by language name; null if none matches.
+
+    Plain extensions are one lookup in a constant map, only the other suffixes are tested one by one.
+    """
+
+    def rank(suffix: str, name: str) -> Column:
+        return F.struct(F.lit(-len(suffix)).alias("n"), F.lit(name).alias("language"))
+
+    by_extension: dict[str, str] = {}
+    for name, ss in sorted(suffixes.items(), reverse=True):
+        by_extension.update({s: f"struct({-len(s)} as n, {_quoted(name)} as language)" for s in ss if _simple(s)})
+    hits = [F.when(F.endswith(path, F.lit(s)), rank(s, name)) for s, name in _others(suffixes)]
+    if by_extension:
+        hits.append(F.when(F.contains(path, F.lit(".")), F.try_element_at(_literal_map(by_extension), _after_last_dot(path))))
+    return F.array_min(F.array(*hits))["language"]
 
 
 def builtin_languages(path: Column, suffixes: Mapping[str, Sequence[str]] = LANGUAGE_SUFFIXES) -> Column:
     """Every language with a matching suffix."""
-    hits = []
-    for lang, ss in sorted(suffixes.items()):
-        test = F.endswith(path, F.lit(ss[0]))
-        for s in ss[1:]:
-            test = test | F.endswith(path, F.lit(s))
-        hits.append(F.when(test, F.lit(lang)))
-    return F.array_compact(F.array(*hits))
+    by_extension: dict[str, list[str]] = {}
+    for name, ss in sorted(suffixes.items()):
+        for s in filter(_simple, ss):
+            by_extension.setdefault(s, []).append(name)
+    others = [F.when(F.endswith(path, F.lit(s)), F.lit(name)) for s, name in _others(suffixes)]
+    found = F.array_compact(F.array(*others)) if others else F.array().cast("array<string>")
+    if not by_extension:
+        return F.array_distinct(found)
+    lists = _literal_map({s: f"array({', '.join(map(_quoted, names))})" for s, names in by_extension.items()})
+    extended = F.when(F.contains(path, F.lit(".")), F.try_element_at(lists, _after_last_dot(path)))
+    return F.array_union(F.coalesce(extended, F.array().cast("array<string>")), found)
 
 
 def custom_language(path: Column, custom: Column) -> Column:

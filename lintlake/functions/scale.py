@@ -111,12 +111,13 @@ def weighted_join(
 
     For group tables too large to copy as a whole. Keys above 1/MAX_HOT_KEYS of the total weight are
     salted, the others are joined as they are. There are fewer than MAX_HOT_KEYS such keys whatever
-    the data, so that list alone is broadcast. ``groups`` is read three times: stage it first.
+    the data, so that list alone is broadcast. ``groups`` is staged, since it is read three times.
     """
     on = list(on)
     salts = salt_count(rows.sparkSession) if salts is None else salts
     if salts <= 1:
         return rows.join(groups, on, how)
+    groups = stage(groups, "weighted-groups")
     total = groups.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) * MAX_HOT_KEYS > F.lit(total)
     hot = groups.filter(is_hot).select(*on, F.lit(True).alias("_hot"))

@@ -194,7 +194,7 @@ def detect_clones(files: DataFrame, window: int = CLONE_WINDOW) -> DataFrame:
     hash, never paired. Stays in flat form because a clone can have any number of occurrences.
     """
     windows = _line_windows(files, window)
-    repeated = stage(_duplicated_windows(windows), "clone-chains")
+    repeated = _duplicated_windows(windows)
     located = weighted_join(
         windows.select(*_FILE, "i", "h", "first_tokens", "tokens"), repeated, _HASH, weight="n", spread=["filename", "i"]
     )

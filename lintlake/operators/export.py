@@ -66,9 +66,10 @@ def upload_batches(files: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> Da
     """Adds ``batch`` (from 0, per run) to ``(project, tool, language, filename, n_results)``.
 
     Files are packed greedily and never split: a file goes into the next batch when the results so far
-    and its own reach ``batch_size``. The order of files is free; here it is by results, most first, then
-    by the hash of the name. So files of ``batch_size`` or more come first, one batch each, and the
-    batch of every other file follows from its position among the files of its size.
+    and its own reach ``batch_size``. The order of files is free; here it is by results, most first,
+    counting ``batch_size`` and more as equal, then by the hash of the name. So the files that fill a batch
+    come first, one batch each, and the batch of every other file follows from its position among the
+    files of its size.
     """
     size = batch_size if batch_size > 0 else DEFAULT_BATCH_SIZE
     sized = files.select(*_RUN_FILE, F.col("n_results").cast("bigint").alias("n_results"))

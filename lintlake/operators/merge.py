@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lintlake.functions import text as tx
-from lintlake.functions.scale import lookup_join, stage, weighted_join
+from lintlake.functions.scale import lookup_join, weighted_join
 
 METRICS = ["complexity", "loc", "cloc", "nr_methods", "nr_classes"]
 MIN_CLONE_LINES = 5
@@ -115,7 +115,6 @@ def filter_clones(
     scope = files.select("project", "filename").distinct()
     kept = clones_min_lines(occurrences, min_lines).join(scope, ["project", "filename"], "left_semi")
     counts = kept.groupBy(*clone).agg(F.count("*").alias("_n")).filter("_n > 1")
-    counts = stage(counts, "clone-counts")
     matched = weighted_join(kept, counts, clone, weight="_n", spread=["filename", "start_line"])
     return matched.select(*occurrences.columns).distinct()
 

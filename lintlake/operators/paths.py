@@ -56,9 +56,14 @@ def _values(kind: str, value: Column | None = None) -> Column:
 def rule_profile(rules: DataFrame) -> DataFrame:
     """Global rules, one row per project.
 
+    Every function that takes ``rules`` also takes this profile, so that it can be staged and reused; the
+    same holds for :func:`tool_rule_profile` and :func:`extension_profile`.
+
     Regexes with a back reference keep a pattern of their own, since joining patterns into one
     alternation would renumber their groups.
     """
+    if "_globs" in rules.columns:
+        return rules
     numbered = F.col("value").rlike(r"\\[1-9k]")
     return (
         rules.filter("scope = 'global'")
@@ -126,6 +131,8 @@ def merge_extensions(local: DataFrame, remote: DataFrame) -> DataFrame:
 
 def extension_profile(extensions: DataFrame) -> DataFrame:
     """Custom suffixes, one row per project."""
+    if "_custom" in extensions.columns:
+        return extensions
     return extensions.groupBy("project").agg(F.collect_set(F.struct("suffix", "language")).alias("_custom"))
 
 
@@ -171,6 +178,8 @@ def filter_language(
 
 def tool_rule_profile(rules: DataFrame) -> DataFrame:
     """Per-tool globs, one row per (project, rule_tool)."""
+    if "_tool_globs" in rules.columns:
+        return rules
     return (
         rules.filter("scope = 'tool' and kind = 'glob'")
         .groupBy("project", F.col("tool").alias("rule_tool"))

@@ -26,6 +26,13 @@ def sql_trim(column: str) -> str:
     return rf"regexp_replace({column}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 
 
+# The fixture's patterns as constants: the oracle's engine compiles a pattern held in a column for every row.
+RULES_SQL = """case {id} when 'phone' then regexp_matches({line}, '[0-9]{{3}}-[0-9]{{4}}')
+    when 'handle' then regexp_matches({line}, '@[a-z]+') when 'license' then regexp_matches({line}, '(?i)license')
+    when 'secret' then regexp_matches({line}, 'key|secret|token') when 'commas' then regexp_matches({line}, ',.*,.*,')
+    when 'digit' then regexp_matches({line}, '[0-9]') when 'long' then length({line}) >= 400 end"""
+
+
 def sql_loc(column: str) -> str:
     return f"len(list_filter({_SPLIT.format(column)}, lambda x: length({sql_trim('x')}) >= 3))"
 
@@ -118,7 +125,7 @@ ctes(
           and not (r.kind = 'metrics' and starts_with(d.filename, 'src/doc_2'))""",
     issue_files="select * from run_files where kind = 'issues' and success",
     allowed="""
-        select p.tool, p.pattern_id, p.regex, p.level, p.category, p.message, m.project
+        select p.tool, p.id, p.pattern_id, p.level, p.category, p.message, m.project
         from patterns p join modes m on m.tool = p.tool
         where case when m.mode = 'patterns'
                    then exists (select 1 from configured_patterns c where c.project = m.project and c.tool = p.tool and c.id = p.id)
@@ -126,11 +133,18 @@ ctes(
     issue_lines=f"""
         select project, tool, language, filename, unnest(range(1, len(ls) + 1)) as line, unnest(ls) as content
         from (select *, {sql_lines('text')} as ls from issue_files)""",
-    issues="""
+    issues=f"""
         select distinct l.project, l.tool, l.language, a.pattern_id, l.filename, a.message, a.level, a.category,
                cast(l.line as int) as line
         from issue_lines l join allowed a on a.project = l.project and a.tool = l.tool
-        where regexp_matches(l.content, a.regex)""",
+        where {RULES_SQL.format(id='a.id', line='l.content')}""",
+    all_lines=f"""
+        select project, filename, unnest(range(1, len(ls) + 1)) as line, unnest(ls) as content
+        from (select *, {sql_lines('text')} as ls from files)""",
+    all_issues=f"""
+        select l.project, p.tool, 'any' as language, p.pattern_id, l.filename, p.message, p.level, p.category,
+               cast(l.line as int) as line
+        from all_lines l join patterns p on p.enabled and {RULES_SQL.format(id='p.id', line='l.content')}""",
     file_errors="""
         select project, tool, language, filename, coalesce(case when doc_id % 2 = 1 then 'Cannot parse' end, 'Failed to analyze file.') as message
         from issue_files where tool = 'lint-b' and doc_id % 3 = 0""",
@@ -223,19 +237,18 @@ def scan_issues(fx: Fixtures) -> DataFrame:
     return analysis(fx).issues.drop("column")
 
 
+def all_issues(fx: Fixtures) -> DataFrame:
+    """Every enabled rule on every file, without planning."""
+    names = F.explode(F.array(F.lit("lint-a"), F.lit("lint-b"))).alias("tool")
+    files = fx.files.select("project", names, F.lit("any").alias("language"), "filename", "text")
+    return analysers.scan_issues(files, analysers.rules_of(fx.rules_table))
+
+
 @query(
-    "scan_all_lines",
-    f"""
-    select project, p.tool, 'any' as language, pattern_id, filename, p.message, p.level, p.category, line
-    from (select project, filename, unnest(range(1, len(ls) + 1)) as line, unnest(ls) as content
-          from (select *, {sql_lines('text')} as ls from files)) l
-    join patterns p on p.enabled and regexp_matches(l.content, p.regex)""",
+    "scan_all_lines", "select project, tool, language, pattern_id, filename, message, level, category, line from all_issues"
 )
 def scan_all_lines(fx: Fixtures) -> DataFrame:
-    """Every rule on every file, without planning."""
-    names = F.explode(F.array(F.lit("lint-a"), F.lit("lint-b"))).alias("tool")
-    files = fx.files.select("project", names, F.lit("any").alias("language"), "filename", "text")
-    return analysers.scan_issues(files, analysers.rules_of(fx.rules_table)).drop("column")
+    return all_issues(fx).drop("column")
 
 
 @query("compute_metrics", f"select {', '.join(_METRICS)}, line_complexities from all_metrics")

@@ -122,6 +122,16 @@ VIEWS: dict[str, str] = {
         select source as project, cast(doc_id as int) as run_order, doc_id % 10 <> 3 as success,
                case when doc_id % 10 = 3 then concat('run ', cast(doc_id as string), ' failed') end as error
         from {documents} where lang <> 'fr'""",
+    "report_runs": f"""
+        select project, 'issues' as kind, 'lint-a' as tool, 'any' as language, 1 as run_order, true as success,
+               cast(null as string) as error
+        from {{projects}}
+        union all select project, 'issues', 'lint-b', 'any', 2, {_DIGIT} <> 7, case when {_DIGIT} = 7 then 'lint-b crashed' end
+        from {{projects}}
+        union all select project, 'metrics', 'metrics', 'any', 3, true, null from {{projects}}
+        union all select project, 'metrics', 'metrics', 'other', 4, false, 'metrics crashed' from {{projects}} where {_DIGIT} = 3
+        union all select project, 'duplication', 'duplication', 'any', 5, {_DIGIT} <> 8, case when {_DIGIT} = 8 then 'no memory' end
+        from {{projects}}""",
     "raw_tools_csv": """
         select md5(concat('tool-', cast(p_partkey as string))) as uuid, cast(p_partkey as int) as position, p_name as name,
                concat('Tool-', cast(p_partkey as string)) as short_name,

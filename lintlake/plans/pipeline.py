@@ -17,7 +17,7 @@ class Analysis:
     """Tables of one analysis, each derived from the inputs when first asked for.
 
     ``files (project, filename, is_readable, text)``; ``failures (project, tool, error)`` are runs that
-    failed outside. The planned runs are small and read by every later step, so they are staged once.
+    failed outside. Rules and planned runs are small and read by every later step, so they are staged once.
     """
 
     files: DataFrame
@@ -35,15 +35,26 @@ class Analysis:
     def projects(self) -> DataFrame:
         return self.files.select("project").distinct()
 
+    @cached_property
+    def global_rules(self) -> DataFrame:
+        return stage(paths.rule_profile(paths.effective_rules(self.rules, self.local_config)), "global-rules")
+
+    @cached_property
+    def tool_rules(self) -> DataFrame:
+        return paths.tool_rule_profile(self.rules)
+
+    @cached_property
+    def suffixes(self) -> DataFrame:
+        return paths.extension_profile(self.extensions)
+
     @cached_property
     def kept(self) -> DataFrame:
         """Readable files that no global rule excludes."""
-        rules = paths.effective_rules(self.rules, self.local_config)
-        return paths.filter_global(self.files.filter("is_readable").drop("is_readable"), rules)
+        return paths.filter_global(self.files.filter("is_readable").drop("is_readable"), self.global_rules)
 
     @cached_property
     def project_languages(self) -> DataFrame:
-        detected = paths.detect_languages(self.kept.select("project", "filename"), self.extensions)
+        detected = paths.detect_languages(self.kept.select("project", "filename"), self.suffixes)
         return stage(paths.project_languages(detected), "project-languages")
 
     @cached_property
@@ -77,12 +88,12 @@ class Analysis:
         tool = F.col("tool") if kind == "issues" else F.lit(kind)
         good = self.runs.filter((F.col("kind") == kind) & F.col("success"))
         wanted = good.select("project", "kind", tool.alias("tool"), "language").distinct()
-        return paths.filter_tool(wanted, self.kept, self.rules, self.extensions)
+        return paths.filter_tool(wanted, self.kept, self.tool_rules, self.suffixes)
 
     @cached_property
     def run_files(self) -> DataFrame:
         """Files of every run, failed ones included."""
-        return paths.filter_tool(self.runs, self.kept.drop("text"), self.rules, self.extensions)
+        return paths.filter_tool(self.runs, self.kept.drop("text"), self.tool_rules, self.suffixes)
 
     @cached_property
     def issues(self) -> DataFrame:

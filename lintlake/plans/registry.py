@@ -34,18 +34,23 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def _needed(sql: str, seen: list[str]) -> None:
-    for word in dict.fromkeys(re.findall(r"[a-z_]+", re.sub(r"'[^']*'", "", sql))):
-        if word in CTES and word not in seen and re.search(rf"\b(from|join|in)\s+\(?\s*{word}\b|,\s*{word}\b", sql):
-            _needed(CTES[word], seen)
-            if word not in seen:
-                seen.append(word)
+def _mentioned(sql: str) -> set[str]:
+    return set(re.findall(r"(?:\b(?:from|join)\s+\(?\s*|,\s*)([a-z_]+)\b", sql)) & set(CTES)
+
+
+def _needed(sql: str, visited: set[str], order: list[str]) -> None:
+    """Append the named results a text refers to, dependencies first."""
+    for name in sorted(_mentioned(sql) - visited):
+        if name not in visited:
+            visited.add(name)
+            _needed(CTES[name], visited, order)
+            order.append(name)
 
 
 def full_sql(sql: str) -> str:
     """An oracle with the named results it uses in front."""
     order: list[str] = []
-    _needed(sql, order)
+    _needed(sql, set(), order)
     recursive = "recursive " if "recursive_" in sql else ""
     heads = [f"{name} as ({CTES[name].strip()})" for name in order]
     body = sql.strip()

@@ -11,12 +11,14 @@ from pyspark.sql import Column, functions as F
 
 _GLOB_TOKEN = r"(?s)\\.|\*\*|\*|\?|\[[^\]]+\]|\{[^{}]*\}|."
 _CHOICE_TOKEN = r"(?s)\\.|\*\*|\*|\?|\[[^\]]+\]|."
-_REGEX_META = r"([.^$|+(){}\[\]\\])"
+_REGEX_META = r"([.^$|+*?(){}\[\]\\])"
 
 
 def _char_class(token: Column) -> Column:
-    body = F.regexp_replace(F.regexp_replace(token, r"^\[!", "[^"), r"\\|&&", r"\\$0")
-    return F.concat(F.lit("(?!/)"), body)
+    inner = F.substr(token, F.lit(2), F.length(token) - 2)
+    negated = F.startswith(inner, F.lit("!"))
+    members = F.regexp_replace(F.when(negated, F.substr(inner, F.lit(2))).otherwise(inner), r"[\\\[^&]", r"\\$0")
+    return F.concat(F.when(negated, F.lit("(?!/)[^")).otherwise(F.lit("(?!/)[")), members, F.lit("]"))
 
 
 def _simple_token(token: Column) -> Column:

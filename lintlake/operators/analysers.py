@@ -40,7 +40,8 @@ class Rule:
 def rules_of(patterns: DataFrame) -> list[Rule]:
     """Rules of a pattern catalog. They become literals of the plan, so every regex is compiled once per task."""
     columns = ["tool", "pattern_id", "id", "regex", "level", "category", "message", "languages", "enabled"]
-    return [Rule(**row.asDict()) for row in patterns.select(*columns).orderBy("tool", "pattern_id").collect()]
+    rows = patterns.select(*columns).distinct().orderBy("tool", "pattern_id").collect()
+    return [Rule(**row.asDict()) for row in rows]
 
 
 def _hit(rule: Rule, has_ids: bool) -> Column:
@@ -59,20 +60,22 @@ def _hit(rule: Rule, has_ids: bool) -> Column:
     return F.when(test & allowed & F.col("_text").rlike(rule.regex), found)
 
 
-def scan_issues(files: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def scan_issues(files: DataFrame, rules: Sequence[Rule], fingerprints: bool = False) -> DataFrame:
     """Every line against every rule of the run's tool; one issue per rule and line, numbered from 1.
 
     An optional column ``pattern_ids`` names the patterns that may run; where it is null the rules'
-    own ``enabled`` flags decide.
+    own ``enabled`` flags decide. ``fingerprints`` adds the fingerprint of each issue while its line is at
+    hand, which saves joining the texts later. Nothing is shuffled.
     """
     has_ids = "pattern_ids" in files.columns
     carried = ["project", "tool", "language", "filename", *(["pattern_ids"] if has_ids else [])]
     lines = files.select(*carried, F.posexplode(tx.split_lines(F.col("text"))).alias("_pos", "_text"))
     hits = F.array_compact(F.array(*[_hit(rule, has_ids) for rule in rules]))
-    found = lines.select("project", "tool", "language", "filename", "_pos", F.explode(hits).alias("_hit"))
+    found = lines.select("project", "tool", "language", "filename", "_pos", "_text", F.explode(hits).alias("_hit"))
+    hashed = tx.fingerprint(F.col("filename"), F.col("_hit.pattern_id"), F.col("_text")).alias("fingerprint")
     return found.select(
         "project", "tool", "language", "_hit.pattern_id", "filename", "_hit.message", "_hit.level", "_hit.category",
-        (F.col("_pos") + 1).alias("line"), F.lit(None).cast("int").alias("column"),
+        (F.col("_pos") + 1).alias("line"), F.lit(None).cast("int").alias("column"), *([hashed] if fingerprints else []),
     )
 
 
@@ -133,10 +136,10 @@ _HASH = ["project", "language", "h"]
 
 
 def _line_windows(files: DataFrame, size: int) -> DataFrame:
-    """Runs of ``size`` lines, as hashes: ``(file, i, h, next, first_tokens, tokens)``.
+    """Runs of ``size`` lines, as hashes: ``(file, i, h, next_a, next_b, first_tokens, tokens)``.
 
-    Computed inside each file row, so no line is shuffled. ``next`` is the hash one line further down.
-    Windows of blank lines only are left out.
+    Computed inside each file row, so no line is shuffled. ``next_a`` and ``next_b`` are a 128-bit
+    fingerprint of the hash one line further down. Windows of blank lines only are left out.
     """
     split = files.select(*_FILE, F.split(tx.normalize_lines(F.col("text")), "\n", -1).alias("_lines"))
 
@@ -162,27 +165,36 @@ def _line_windows(files: DataFrame, size: int) -> DataFrame:
 
     def with_next(w: Column, i: Column) -> Column:
         following = F.get(F.col("_windows"), i + 1)
+        there = following["tokens"] > 0
         return F.struct(
             w["h"].alias("h"), w["first_tokens"].alias("first_tokens"), w["tokens"].alias("tokens"),
-            F.when(following["tokens"] > 0, following["h"]).alias("next"),
+            *[F.when(there, c).alias(name) for c, name in zip(_fingerprint(following["h"]), ("next_a", "next_b"))],
         )
 
     rows = windows.select(*_FILE, F.posexplode(F.transform("_windows", with_next)).alias("i", "_w"))
     return rows.select(*_FILE, "i", "_w.*").filter("tokens > 0")
 
 
+def _fingerprint(h: Column) -> tuple[Column, Column]:
+    """A hash as two numbers: unlike binary values they can be aggregated without sorting."""
+    return F.xxhash64(h), F.xxhash64(h, F.lit(1))
+
+
 def _duplicated_windows(windows: DataFrame) -> DataFrame:
     """Hashes that occur at least twice, with ``chains``: always followed by one and the same hash that
     occurs equally often, so the two windows belong to one longer clone."""
-    stats = windows.groupBy(*_HASH).agg(
-        F.count("*").alias("n"), F.count("next").alias("n_next"), F.min("next").alias("lo"), F.max("next").alias("hi")
-    )
+    sides = [(c, f(c).alias(f"{f.__name__}_{c}")) for c in ("next_a", "next_b") for f in (F.min, F.max)]
+    stats = windows.groupBy(*_HASH).agg(F.count("*").alias("n"), F.count("next_a").alias("n_next"), *[s for _, s in sides])
+    same = F.expr("n_next = n and min_next_a = max_next_a and min_next_b = max_next_b")
     repeated = stats.filter("n >= 2").select(
-        *_HASH, "n", F.when((F.col("n_next") == F.col("n")) & (F.col("lo") == F.col("hi")), F.col("lo")).alias("next")
+        *_HASH, "n", *[F.when(same, F.col(f"min_{c}")).alias(c) for c in ("next_a", "next_b")]
     )
     repeated = stage(repeated, "duplicated-windows")
-    after = repeated.select("project", "language", F.col("h").alias("next"), F.col("n").alias("_n_after"))
-    joined = repeated.join(after, ["project", "language", "next"], "left")
+    next_a, next_b = _fingerprint(F.col("h"))
+    after = repeated.select(
+        "project", "language", next_a.alias("next_a"), next_b.alias("next_b"), F.col("n").alias("_n_after")
+    )
+    joined = repeated.join(after, ["project", "language", "next_a", "next_b"], "left")
     return joined.select(*_HASH, "n", F.coalesce(F.col("_n_after") == F.col("n"), F.lit(False)).alias("chains"))
 
 

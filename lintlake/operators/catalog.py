@@ -24,7 +24,8 @@ SUBCATEGORIES = [
 
 def prefer(first: DataFrame, second: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of ``first``, and those of ``second`` whose key ``first`` does not have."""
-    rest = second.join(first.select(*key).distinct(), list(key), "left_anti")
+    others = [c for c in second.columns if c not in key]
+    rest = lookup_join(second, first.select(*key).distinct(), key, spread=others, how="left_anti")
     return first.unionByName(rest.select(*second.columns))
 
 

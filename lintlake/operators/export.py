@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lintlake.functions.scale import lookup_join, spread_rank
+from lintlake.functions.scale import lookup_join, spread_rank, weighted_join
+from lintlake.operators.merge import group_results_by_file
 from lintlake.operators.report import _issue_fields, _line, _location
 
 DEFAULT_BATCH_SIZE = 50000
@@ -98,22 +99,17 @@ def _tagged(kind: Column) -> Column:
     return F.struct(F.when(kind == "Issue", issue).alias("Issue"), F.when(kind == "FileError", error).alias("FileError"))
 
 
-def file_results_json(run_files: DataFrame, results: DataFrame) -> DataFrame:
-    """``{"filename", "results"}`` per run file; the array is bounded by one file."""
-    tagged = F.to_json(_tagged(F.col("kind")))
-    grouped = results.groupBy(*_RUN_FILE).agg(F.array_join(F.array_sort(F.collect_set(tagged)), ",").alias("_results"))
-    joined = run_files.select(*_RUN_FILE).distinct().join(grouped, _RUN_FILE, "left")
-    name = F.to_json(F.struct("filename"))
-    text = F.concat(
-        F.substr(name, F.lit(1), F.length(name) - 1), F.lit(',"results":['), F.coalesce("_results", F.lit("")), F.lit("]}")
-    )
-    return joined.select(*_RUN_FILE, text.alias("json"))
+def result_rows_json(run_files: DataFrame, results: DataFrame) -> DataFrame:
+    """``(project, tool, language, filename, json)``: one row per result, ``json`` null for files without."""
+    rows = group_results_by_file(run_files, results).withColumn("json", F.to_json(_tagged(F.col("kind"))))
+    return rows.select(*_RUN_FILE, F.when(F.col("kind").isNotNull(), F.col("json")).alias("json"))
 
 
 def issues_report(runs: DataFrame, run_files: DataFrame, results: DataFrame) -> DataFrame:
     """Per project a JSON array with one entry per issue run, as document lines.
 
-    A successful run lists its files with their results, a failed one has its message.
+    A successful run lists its files with their results, a failed one has its message. Files and results
+    are lines of their own; the first of each list is found by an aggregate.
     """
     run_key = F.concat_ws("\x01", "tool", "language")
     issue_runs = runs.filter("kind = 'issues'").select(*_RUN, "success", "error").withColumn("_key", run_key)
@@ -126,16 +122,32 @@ def issues_report(runs: DataFrame, run_files: DataFrame, results: DataFrame) ->
     )
     failure = F.to_json(F.struct(F.struct(F.col("error").alias("message")).alias("Failure")))
     good, failed = keyed.filter("success"), keyed.filter("not success")
-    rows = file_results_json(run_files, results)
-    rows = lookup_join(rows, good.select(*_RUN, "_key"), _RUN, spread=["filename"], how="inner")
-    first_file = rows.groupBy(*_RUN).agg(F.min("filename").alias("_first_file"))
-    rows = lookup_join(rows, first_file, _RUN, spread=["filename"])
-    comma = F.when(F.col("filename") == F.col("_first_file"), F.lit("")).otherwise(F.lit(","))
+
+    listed = run_files.select(*_RUN_FILE).distinct()
+    first_file = listed.groupBy(*_RUN).agg(F.min("filename").alias("_first_file"))
+    heads = lookup_join(listed, good.select(*_RUN, "_key").join(first_file, _RUN), _RUN, spread=["filename"], how="inner")
+    file_name = F.to_json(F.struct("filename"))
+    opened = F.concat(
+        F.when(F.col("filename") == F.col("_first_file"), F.lit("")).otherwise(F.lit(",")),
+        F.substr(file_name, F.lit(1), F.length(file_name) - 1), F.lit(',"results":['),
+    )
+
+    tagged = results.select(*_RUN_FILE, F.to_json(_tagged(F.col("kind"))).alias("json")).distinct()
+    grouped = tagged.groupBy(*_RUN_FILE).agg(F.count("*").alias("_n"), F.min("json").alias("_first_json"))
+    scoped = heads.select(*_RUN_FILE, "_key").join(grouped, _RUN_FILE)
+    rows = weighted_join(tagged, scoped, _RUN_FILE, "_n", spread=["json"])
+    comma = F.when(F.col("json") == F.col("_first_json"), F.lit("")).otherwise(F.lit(","))
+
+    def at(part: str, *more: str) -> Column:
+        return F.concat("filename", F.lit("\x01" + part), *more)
+
     projects = runs.select("project").distinct()
     parts = [
         projects.select(*_line([0, "", 0, ""], F.lit("["))),
         good.select(*_line([1, F.col("_key"), 0, ""], F.concat(lead, F.lit('"Success":{"results":[')))),
-        rows.select(*_line([1, F.col("_key"), 1, F.col("filename")], F.concat(comma, F.col("json")))),
+        heads.select(*_line([1, F.col("_key"), 1, at("0")], opened)),
+        rows.select(*_line([1, F.col("_key"), 1, at("1", "json")], F.concat(comma, "json"))),
+        heads.select(*_line([1, F.col("_key"), 1, at("2")], F.lit("]}"))),
         good.select(*_line([1, F.col("_key"), 2, ""], F.lit("]}}}"))),
         failed.select(*_line([1, F.col("_key"), 0, ""], F.concat(lead, F.substr(failure, F.lit(2)), F.lit("}")))),
         projects.select(*_line([9, "", 0, ""], F.lit("]"))),
@@ -152,11 +164,14 @@ def issues_report(runs: DataFrame, run_files: DataFrame, results: DataFrame) ->
 def issue_payloads(runs: DataFrame, run_files: DataFrame, results: DataFrame, counts: DataFrame, batch_size: int) -> DataFrame:
     """Rows of the issue payloads ``(project, kind, tool, language, batch, filename, payload)``.
 
-    One row per file with its results, put into batches; a failed run is one row with its message.
+    One row per result, in the batch of its file, and one without payload per file without results; a
+    failed run is one row with its message.
     """
     good = runs.filter("kind = 'issues' and success").select(*_RUN).distinct()
     batched = lookup_join(upload_batches(counts, batch_size), good, _RUN, spread=["filename"], how="left_semi")
-    rendered = batched.join(file_results_json(run_files, results), _RUN_FILE)
+    found = result_rows_json(run_files, results)
+    weights = batched.withColumn("_n", F.greatest("n_results", F.lit(1))).drop("n_results")
+    rendered = weighted_join(found, weights, _RUN_FILE, "_n", spread=["json"])
     return rendered.select(
         "project", F.lit("issues").alias("kind"), "tool", "language", "batch", "filename", F.col("json").alias("payload")
     ).unionByName(_failure_payloads(runs, "issues"))

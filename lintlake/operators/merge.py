@@ -160,9 +160,13 @@ def count_results_by_file(run_files: DataFrame, results: DataFrame) -> DataFrame
 
 
 def group_results_by_file(run_files: DataFrame, results: DataFrame) -> DataFrame:
-    """Like :func:`count_results_by_file` with the results themselves as an array (bounded by one file)."""
-    row = F.struct("kind", "pattern_id", "message", "level", "category", "line", "column")
-    grouped = results.groupBy(*_RUN_FILE).agg(F.array_sort(F.collect_set(row)).alias("_results"))
-    joined = run_files.select(*_RUN_FILE).distinct().join(grouped, _RUN_FILE, "left")
-    empty = F.array().cast(grouped.schema["_results"].dataType)
-    return joined.select(*_RUN_FILE, F.coalesce("_results", empty).alias("results"))
+    """Every run file with each of its results; a file without results is one row of nulls.
+
+    Flat, because a file can have any number of results. Results of other files are dropped, and results
+    of a file that has very many of them are spread over several tasks.
+    """
+    values = [c for c in results.columns if c not in _RUN_FILE]
+    counts = count_results_by_file(run_files, results)
+    found = weighted_join(results, counts.filter("n_results > 0"), _RUN_FILE, "n_results", spread=values)
+    empty = counts.filter("n_results = 0").select(*_RUN_FILE)
+    return found.select(*_RUN_FILE, *values).unionByName(empty, allowMissingColumns=True)

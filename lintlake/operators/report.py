@@ -289,17 +289,13 @@ def sarif_indexes(categorized: DataFrame, rules: DataFrame) -> DataFrame:
 def fingerprint_issues(issues: DataFrame, files: DataFrame) -> DataFrame:
     """Adds ``fingerprint`` from the source line; lines outside the file count as empty.
 
-    The wanted lines are cut out of each text once per file, whatever number of issues the file has.
+    For results that come without one (see ``scan_issues``). Lines, not texts, meet the issues, so a file
+    with very many issues is spread over its lines. Blank lines are left out: they count as empty anyway.
     """
-    keys = ["project", "filename", "line"]
-    wanted = issues.select(*keys).distinct()
-    by_file = wanted.groupBy("project", "filename").agg(F.collect_set("line").alias("_wanted"))
-    texts = files.select("project", "filename", "text").join(by_file, ["project", "filename"])
-    split = texts.withColumn("_lines", tx.split_lines(F.col("text")))
-    cut = F.transform("_wanted", lambda n: F.struct(n.alias("line"), F.when(n >= 1, F.get("_lines", n - 1)).alias("content")))
-    contents = split.select("project", "filename", F.inline(cut))
-    joined = issues.join(contents, keys, "left")
-    content = F.coalesce("content", F.lit(""))
+    lines = files.select("project", "filename", F.posexplode(tx.split_lines(F.col("text"))).alias("_pos", "_content"))
+    contents = lines.select("project", "filename", (F.col("_pos") + 1).alias("line"), "_content").filter("trim(_content) <> ''")
+    joined = issues.join(contents, ["project", "filename", "line"], "left")
+    content = F.coalesce("_content", F.lit(""))
     return joined.select(
         *issues.columns, tx.fingerprint(F.col("filename"), F.col("pattern_id"), content).alias("fingerprint")
     )
@@ -318,11 +314,16 @@ def sarif_results(
     compat: bool = False,
     legacy_rule_index: bool = False,
 ) -> DataFrame:
-    """SARIF results in flat form, one row per issue of a known tool."""
+    """SARIF results in flat form, one row per issue of a known tool.
+
+    ``files`` is only read for issues without a ``fingerprint`` column.
+    """
     known = lookup_join(issues, tools.select("tool").distinct(), ["tool"], spread=["filename", "line"], how="left_semi")
     categorized = split_security(known, tools, patterns)
     rules = sarif_rules(categorized, patterns, legacy_rule_index)
-    indexed = fingerprint_issues(sarif_indexes(categorized, rules), files)
+    indexed = sarif_indexes(categorized, rules)
+    if "fingerprint" not in issues.columns:
+        indexed = fingerprint_issues(indexed, files)
     return indexed.select(
         *_RUN, "is_security", F.col("pattern_id").alias("rule_id"), "rule_index",
         sarif_level(F.col("level"), F.col("is_security"), compat).alias("level"), "message", "filename", "artifact_index",

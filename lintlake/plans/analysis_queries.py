@@ -234,14 +234,14 @@ def count_loc(fx: Fixtures) -> DataFrame:
     "scan_issues", "select project, tool, language, pattern_id, filename, message, level, category, line from issues"
 )
 def scan_issues(fx: Fixtures) -> DataFrame:
-    return analysis(fx).issues.drop("column")
+    return analysis(fx).issues.drop("column", "fingerprint")
 
 
-def all_issues(fx: Fixtures) -> DataFrame:
+def all_issues(fx: Fixtures, fingerprints: bool = False) -> DataFrame:
     """Every enabled rule on every file, without planning."""
     names = F.explode(F.array(F.lit("lint-a"), F.lit("lint-b"))).alias("tool")
     files = fx.files.select("project", names, F.lit("any").alias("language"), "filename", "text")
-    return analysers.scan_issues(files, analysers.rules_of(fx.rules_table))
+    return analysers.scan_issues(files, analysers.rules_of(fx.rules_table), fingerprints)
 
 
 @query(
@@ -485,21 +485,13 @@ def partition_results(fx: Fixtures) -> DataFrame:
 @query(
     "group_results_by_file",
     f"""
-    select f.project, f.tool, f.language, f.filename, count(r.kind) as n_results,
-           coalesce(string_agg(r.kind || coalesce(r.line, 0) || coalesce(r.pattern_id, ''), ','
-                    order by r.kind || coalesce(r.line, 0) || coalesce(r.pattern_id, '')), '') as spots
-    from (select {_RUN_FILE} from issue_files) f left join results r using ({_RUN_FILE}) group by 1, 2, 3, 4""",
+    select f.project, f.tool, f.language, f.filename, r.kind, r.pattern_id, r.message, r.line
+    from (select {_RUN_FILE} from issue_files) f left join results r using ({_RUN_FILE})""",
 )
 def group_results_by_file(fx: Fixtures) -> DataFrame:
     a = analysis(fx)
-    grouped = merge.group_results_by_file(a.files_of("issues"), results(fx, a))
-
-    def spot(r):
-        return F.concat(r["kind"], F.coalesce(r["line"], F.lit(0)).cast("string"), F.coalesce(r["pattern_id"], F.lit("")))
-
-    spots = F.array_join(F.array_sort(F.transform("results", spot)), ",")
-    size = F.size("results").cast("bigint")
-    return grouped.select("project", "tool", "language", "filename", size.alias("n_results"), spots.alias("spots"))
+    grouped = merge.group_results_by_file(a.files_of("issues").drop("text"), results(fx, a))
+    return grouped.drop("level", "category", "column")
 
 
 # ---------------------------------------------------------------- gate
@@ -557,11 +549,12 @@ def run_summary(fx: Fixtures) -> DataFrame:
     """
     select project, bool_and(success) as success, string_agg(error, chr(10) order by run_order) as error,
            case when not bool_and(success) then 'Upload failed' end as fixed_error
-    from statuses group by 1""",
+    from runs group by 1""",
 )
 def collect_errors(fx: Fixtures) -> DataFrame:
-    folded = gate.collect_errors(fx.statuses)
-    fixed = gate.collect_errors(fx.statuses, "Upload failed").select("project", F.col("error").alias("fixed_error"))
+    runs = analysis(fx).runs
+    folded = gate.collect_errors(runs)
+    fixed = gate.collect_errors(runs, "Upload failed").select("project", F.col("error").alias("fixed_error"))
     return folded.join(fixed, "project")
 
 

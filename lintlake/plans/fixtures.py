@@ -118,10 +118,6 @@ VIEWS: dict[str, str] = {
                cast(doc_id % 50 + 1 as int) as start_line,
                cast(doc_id % 50 + cast(floor(doc_id / 100) as int) % 9 as int) as end_line
         from {files}""",
-    "statuses": """
-        select source as project, cast(doc_id as int) as run_order, doc_id % 10 <> 3 as success,
-               case when doc_id % 10 = 3 then concat('run ', cast(doc_id as string), ' failed') end as error
-        from {documents} where lang <> 'fr'""",
     "report_runs": f"""
         select project, 'issues' as kind, 'lint-a' as tool, 'any' as language, 1 as run_order, true as success,
                cast(null as string) as error

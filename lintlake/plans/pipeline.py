@@ -100,14 +100,15 @@ class Analysis:
         enabled = planning.enabled_patterns(self.modes, self.tool_config, self.tools, self.patterns)
         allowed = stage(planning.run_patterns(self.modes, enabled), "run-patterns")
         files = lookup_join(self.files_of("issues"), allowed, ["project", "tool"], spread=["filename"])
-        return merge.dedupe_results(analysers.scan_issues(files, analysers.rules_of(self.patterns)))
+        return analysers.scan_issues(files, analysers.rules_of(self.patterns), fingerprints=True)
 
     @cached_property
     def metrics(self) -> DataFrame:
         """Metrics of every file of a metrics run, with line counts, one row per (project, language, file)."""
         files = self.files_of("metrics").select("project", "language", "filename", "text")
         computed = analysers.compute_metrics(files.withColumn("run_order", F.lit(1)), self.metric_rules)
-        merged = merge.latest_metrics(merge.reduce_metrics(computed).withColumn("run_order", F.lit(1)))
+        # One row per language and file already, so only the languages are left to merge.
+        merged = merge.latest_metrics(computed)
         run_files = merge.run_files_union(self.run_files.filter("kind = 'metrics'"))
         return merge.fill_missing_loc(run_files, merged, self.kept)
 

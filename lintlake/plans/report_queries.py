@@ -67,13 +67,11 @@ ctes(
                case when b.acc + o.n_results >= {BATCH_SIZE} then b.batch + 1 else b.batch end
         from recursive_batches b join packing_order o
         on o.project = b.project and o.tool = b.tool and o.language = b.language and o.rn = b.rn + 1""",
-    file_json=f"""
-        select f.project, f.tool, f.language, f.filename,
-               '{{"filename":' || to_json(f.filename) || ',"results":[' || coalesce(r.items, '') || ']}}' as json
+    result_json=f"""
+        select f.project, f.tool, f.language, f.filename, cast(r.item as varchar) as json
         from report_run_files f left join (
-            select project, tool, language, filename, string_agg(distinct item, ',' order by item) as items from (
-                select project, tool, language, filename, case kind when 'Issue' then {_ISSUE_JSON} else {_ERROR_JSON} end as item
-                from report_results) x group by 1, 2, 3, 4) r using (project, tool, language, filename)""",
+            select distinct project, tool, language, filename, case kind when 'Issue' then {_ISSUE_JSON} else {_ERROR_JSON} end as item
+            from report_results) r using (project, tool, language, filename)""",
     shown_text="""
         select project, 'Found [' || level || '/' || category || '] `' || message || '` in ' || filename || ':' || line || ' (' || pattern_id || ')' as line
         from report_issues
@@ -253,6 +251,19 @@ def fingerprint_issues(fx: Fixtures) -> DataFrame:
     return report.fingerprint_issues(moved_issues(fx), fx.files).drop("message", "level", "category", "column")
 
 
+@query(
+    "scan_fingerprints",
+    rf"""
+    select {_RUN}, i.filename, i.pattern_id, i.line, coalesce(nullif(ltrim(md5(i.filename || i.pattern_id ||
+           regexp_replace(l.content, '[\s\x0B]', '', 'g')), '0'), ''), '0') as fingerprint
+    from all_issues i join all_lines l using (project, filename, line)""",
+)
+def scan_fingerprints(fx: Fixtures) -> DataFrame:
+    """Fingerprints taken while scanning."""
+    found = all_issues(fx, fingerprints=True)
+    return found.select("project", "tool", "language", "filename", "pattern_id", "line", "fingerprint")
+
+
 @query(
     "union_security",
     f"""
@@ -388,12 +399,11 @@ def read_results(fx: Fixtures) -> DataFrame:
 
 @query(
     "issues_report",
-    """
-    select f.project, f.tool, f.language, f.filename, f.json from file_json f""",
+    "select project, tool, language, filename, json from result_json",
 )
 def issues_report(fx: Fixtures) -> DataFrame:
-    """The rows of the nested report: every file with its results."""
-    return export.file_results_json(run_files(fx), results(fx))
+    """The rows of the nested report: every file with each of its results."""
+    return export.result_rows_json(run_files(fx), results(fx))
 
 
 @query("issues_report_document")
@@ -417,7 +427,7 @@ def count_results_by_file(fx: Fixtures) -> DataFrame:
     "write_batches",
     f"""
     select b.project, 'issues' as kind, b.tool, b.language, b.batch, b.filename, j.json as payload
-    from recursive_batches b join file_json j using ({_RUN}, filename) join good_report_runs using ({_RUN})
+    from recursive_batches b join result_json j using ({_RUN}, filename) join good_report_runs using ({_RUN})
     union all
     select project, 'metrics', 'metrics', 'any', 0, filename,
            case when complexity is null then to_json({{'file': filename, 'metrics': {{'lineComplexities': []}}}})

@@ -212,13 +212,17 @@ def detect_clones(files: DataFrame, window: int = CLONE_WINDOW) -> DataFrame:
     )
     in_file = Window.partitionBy(*_FILE).orderBy("i")
     continues = (F.lag("i").over(in_file) == F.col("i") - 1) & F.lag("chains").over(in_file)
-    islands = located.withColumn("_new", (~F.coalesce(continues, F.lit(False))).cast("int")).withColumn(
-        "_island", F.sum("_new").over(in_file.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    blocks = islands.groupBy(*_FILE, "_island").agg(
+    begins = located.withColumn("_begins", ~F.coalesce(continues, F.lit(False)))
+    so_far = in_file.rowsBetween(Window.unboundedPreceding, 0)
+
+    def of_begin(column: str) -> Column:
+        return F.last(F.when(F.col("_begins"), F.col(column)), ignorenulls=True).over(so_far)
+
+    # The hash is a grouping key, so that only numbers are aggregated and no sort is needed.
+    islands = begins.withColumn("_at", of_begin("i")).withColumn("_first", of_begin("h"))
+    blocks = islands.groupBy(*_FILE, "_at", "_first").agg(
         (F.min("i") + 1).alias("start_line"),
         (F.max("i") + window).alias("end_line"),
-        F.min_by("h", "i").alias("_first"),
         (F.sum("first_tokens") + F.max_by(F.col("tokens") - F.col("first_tokens"), "i")).cast("int").alias("nr_tokens"),
     )
     nr_lines = F.col("end_line") - F.col("start_line") + 1

@@ -200,13 +200,18 @@ def metrics_payloads(runs: DataFrame, metrics: DataFrame) -> DataFrame:
     ).unionByName(_failure_payloads(runs, "metrics"))
 
 
-def duplication_payloads(runs: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """One row per clone occurrence, in one batch per project."""
-    entry = F.struct(
-        F.col("clone_id").alias("cloneId"), F.col("nr_tokens").alias("nrTokens"), F.col("nr_lines").alias("nrLines"),
-        F.col("filename").alias("filePath"), F.col("start_line").alias("startLine"), F.col("end_line").alias("endLine"),
-    )
-    return occurrences.select(
-        "project", F.lit("duplication").alias("kind"), F.lit("duplication").alias("tool"), "language",
-        F.lit(0).alias("batch"), "filename", F.to_json(entry).alias("payload"),
-    ).unionByName(_failure_payloads(runs, "duplication"))
+def duplication_payloads(runs: DataFrame, occurrences: DataFrame, clones: DataFrame, files: DataFrame) -> DataFrame:
+    """Clones, their occurrences and the analysed files, one row each, in one batch per project."""
+
+    def rows(table: DataFrame, filename: Column, fields: dict[str, str]) -> DataFrame:
+        entry = F.struct(*[F.col(column).alias(name) for name, column in fields.items()])
+        return table.select(
+            "project", F.lit("duplication").alias("kind"), F.lit("duplication").alias("tool"), "language",
+            F.lit(0).alias("batch"), filename.alias("filename"), F.to_json(entry).alias("payload"),
+        )
+
+    place = {"cloneId": "clone_id", "filePath": "filename", "startLine": "start_line", "endLine": "end_line"}
+    text = {"cloneId": "clone_id", "cloneLines": "clone_lines", "nrTokens": "nr_tokens", "nrLines": "nr_lines"}
+    found = rows(occurrences, F.col("filename"), place).unionByName(rows(clones, F.lit(None).cast("string"), text))
+    analysed = rows(files.select("project", "language", "filename").distinct(), F.col("filename"), {"analysedFile": "filename"})
+    return found.unionByName(analysed).unionByName(_failure_payloads(runs, "duplication"))

@@ -271,9 +271,8 @@ def detect_clones(fx: Fixtures) -> DataFrame:
     return analysers.detect_clones(_wide_files(fx)).select(*_CLONE)
 
 
-@query(
-    "clones",
-    f"""
+ctes(
+    wide_clones=f"""
     select c.project, c.language, c.clone_id, c.nr_lines, c.nr_tokens, c.n as n_occurrences,
            array_to_string({sql_lines('f.text')}[c.start_line:c.start_line + c.nr_lines - 1], chr(10)) as clone_lines
     from (select project, language, clone_id, nr_lines, nr_tokens, cast(count(*) as int) as n, min((filename, start_line)) as first,
@@ -281,6 +280,12 @@ def detect_clones(fx: Fixtures) -> DataFrame:
           from wide_occurrences group by 1, 2, 3, 4, 5) c
     join all_lang_files f on f.filename = c.filename""",
 )
+
+
+@query(
+    "clones",
+    "select project, language, clone_id, nr_lines, nr_tokens, n_occurrences, clone_lines from wide_clones",
+)
 def clones(fx: Fixtures) -> DataFrame:
     files = _wide_files(fx)
     return analysers.clones(stage(analysers.detect_clones(files), "occurrences"), files)

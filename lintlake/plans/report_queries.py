@@ -38,12 +38,12 @@ ctes(
     rules="""
         select u.project, u.tool, u.language, u.is_security, u.pattern_id as rule_id, c.title as name,
                coalesce(c.description, c.title) as short_text, c.explanation as help_markdown, u.category,
-               row_number() over (partition by u.project, u.tool, u.language order by u.is_security desc, u.pattern_id) - 1 as rule_index
+               cast(row_number() over (partition by u.project, u.tool, u.language order by u.is_security desc, u.pattern_id) - 1 as int) as rule_index
         from (select project, tool, language, is_security, pattern_id, min(category) as category from categorized group by all) u
         join catalog_patterns c on c.tool = u.tool and c.pattern_id = u.pattern_id""",
     artifacts="""
         select project, tool, language, filename,
-               row_number() over (partition by project, tool, language order by md5(filename), filename) - 1 as artifact_index
+               cast(row_number() over (partition by project, tool, language order by md5(filename), filename) - 1 as int) as artifact_index
         from (select distinct project, tool, language, filename from report_issues) x""",
     moved_with_text="""
         select m.*, coalesce(l.content, '') as content from moved_issues m
@@ -211,7 +211,8 @@ def sarif_rules(fx: Fixtures) -> DataFrame:
 @query(
     "sarif_rules_legacy",
     f"""
-    select {_RUN}, rule_id, row_number() over (partition by {_RUN}, is_security order by rule_id) - 1 as rule_index from rules""",
+    select {_RUN}, rule_id, cast(row_number() over (partition by {_RUN}, is_security order by rule_id) - 1 as int) as rule_index
+    from rules""",
 )
 def sarif_rules_legacy(fx: Fixtures) -> DataFrame:
     rules = report.sarif_rules(categorized(fx), fx.patterns, legacy_rule_index=True)
@@ -229,7 +230,8 @@ def sarif_artifacts(fx: Fixtures) -> DataFrame:
     select c.project, c.tool, c.language, c.filename, c.line, c.pattern_id, a.artifact_index,
            case when c.pattern_id = 'long' then -1 else coalesce(r.rule_index, -1) end as rule_index
     from categorized c join artifacts a using ({_RUN}, filename)
-    left join (select {_RUN}, rule_id as pattern_id, row_number() over (partition by {_RUN} order by is_security desc, rule_id) - 1 as rule_index
+    left join (select {_RUN}, rule_id as pattern_id,
+                      cast(row_number() over (partition by {_RUN} order by is_security desc, rule_id) - 1 as int) as rule_index
                from rules where rule_id <> 'long') r using ({_RUN}, pattern_id)""",
 )
 def sarif_indexes(fx: Fixtures) -> DataFrame:
@@ -342,7 +344,7 @@ def render_clones(fx: Fixtures) -> DataFrame:
     return report.clone_text_lines(occurrences(fx)).select("line")
 
 
-@query("render_json", "select project, line from shown_json")
+@query("render_json", "select project, cast(line as varchar) as line from shown_json")
 def render_json(fx: Fixtures) -> DataFrame:
     return report.render_json(results(fx), metrics(fx)).select("project", "line")
 
@@ -426,6 +428,7 @@ def count_results_by_file(fx: Fixtures) -> DataFrame:
 @query(
     "write_batches",
     f"""
+    select project, kind, tool, language, batch, filename, cast(payload as varchar) as payload from (
     select b.project, 'issues' as kind, b.tool, b.language, b.batch, b.filename, j.json as payload
     from recursive_batches b join result_json j using ({_RUN}, filename) join good_report_runs using ({_RUN})
     union all
@@ -437,19 +440,26 @@ def count_results_by_file(fx: Fixtures) -> DataFrame:
     select project, kind, tool, language, 0, null, to_json({{'Failure': {{'message': error}}}}) from report_runs where not success
     union all
     select 'all', 'duplication', 'duplication', 'any', 0, filename,
-           to_json({{'cloneId': clone_id, 'nrTokens': nr_tokens, 'nrLines': nr_lines, 'filePath': filename, 'startLine': start_line,
-                     'endLine': end_line}})
-    from wide_occurrences""",
+           to_json({{'cloneId': clone_id, 'filePath': filename, 'startLine': start_line, 'endLine': end_line}})
+    from wide_occurrences
+    union all
+    select 'all', 'duplication', 'duplication', 'any', 0, null,
+           to_json({{'cloneId': clone_id, 'cloneLines': clone_lines, 'nrTokens': nr_tokens, 'nrLines': nr_lines}})
+    from wide_clones
+    union all
+    select 'all', 'duplication', 'duplication', 'any', 0, filename, to_json({{'analysedFile': filename}}) from all_lang_files) p""",
 )
 def write_batches(fx: Fixtures) -> DataFrame:
     """Upload payloads of all kinds, written and read back."""
     found = stage(results(fx), "results")
     counts = stage(merge.count_results_by_file(run_files(fx), found), "result-counts")
     measured = metrics(fx).withColumn("language", F.lit("any"))
+    searched = _wide_files(fx)
+    places = occurrences(fx)
     payloads = (
         export.issue_payloads(fx.report_runs, run_files(fx), found, counts, BATCH_SIZE)
         .unionByName(export.metrics_payloads(fx.report_runs, measured))
-        .unionByName(export.duplication_payloads(fx.report_runs, occurrences(fx)))
+        .unionByName(export.duplication_payloads(fx.report_runs, places, analysers.clones(places, searched), searched))
     )
     path = scratch_path(fx.spark, "batches")
     documents.write_batches(payloads, path)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lintlake.functions import text as tx
-from lintlake.functions.scale import lookup_join, spread_rank
+from lintlake.functions.scale import lookup_join, spread_rank, weighted_join
 
 _RUN = ["project", "tool", "language"]
 SORT_COLUMNS = ["s1", "s2", "s3", "s4"]
@@ -179,13 +179,13 @@ def clone_json_lines(clones: DataFrame, occurrences: DataFrame) -> DataFrame:
     texts = _keep_nulls(F.struct(F.col("clone_lines").alias("cloneLines"), F.col("nr_tokens").alias("nrTokens"), F.col("nr_lines").alias("nrLines")))
     head = F.concat(F.lit('{"DuplicationClone":'), F.substr(texts, F.lit(1), F.length(texts) - 1), F.lit(',"files":['))
     spot = F.format_string("%s\x01%010d", F.col("filename"), F.col("start_line"))
-    first = occurrences.groupBy("project", "clone_id").agg(F.min(spot).alias("_first"))
+    first = occurrences.groupBy("project", "clone_id").agg(F.min(spot).alias("_first"), F.count("*").alias("_n"))
     entry = _keep_nulls(
         F.struct(
             F.col("filename").alias("filePath"), F.col("start_line").alias("startLine"), F.col("end_line").alias("endLine")
         )
     )
-    rows = lookup_join(occurrences.withColumn("_spot", spot), first, ["project", "clone_id"], spread=["_spot"])
+    rows = weighted_join(occurrences.withColumn("_spot", spot), first, ["project", "clone_id"], "_n", spread=["_spot"])
     body = F.concat(F.when(F.col("_spot") == F.col("_first"), F.lit("")).otherwise(F.lit(",")), entry)
     heads = clones.select(*_line([3, F.col("clone_id"), 0, ""], head))
     tails = clones.select(*_line([3, F.col("clone_id"), 2, ""], F.lit("]}}")))
@@ -274,16 +274,21 @@ def sarif_artifacts(issues: DataFrame) -> DataFrame:
 
 
 def indexed_artifacts(issues: DataFrame) -> DataFrame:
-    """Files with issues and their index within the run, in hash order: a run can have any number."""
-    return spread_rank(sarif_artifacts(issues), _RUN, "filename", "artifact_index")
+    """Files with issues, their number of issues and their index within the run.
+
+    The index follows the hash of the name: a run can have any number of files.
+    """
+    counted = issues.groupBy(*_RUN, "filename").agg(F.count("*").alias("n_issues"))
+    return spread_rank(counted, _RUN, "filename", "artifact_index")
 
 
 def sarif_indexes(categorized: DataFrame, rules: DataFrame) -> DataFrame:
     """Adds the artifact index and the rule index (-1 for patterns without rule)."""
-    indexed = categorized.join(indexed_artifacts(categorized), [*_RUN, "filename"], "left")
+    artifacts = indexed_artifacts(categorized)
+    indexed = weighted_join(categorized, artifacts, [*_RUN, "filename"], "n_issues", spread=["line", "pattern_id"])
     positions = rules.select(*_RUN, F.col("rule_id").alias("pattern_id"), "rule_index")
     joined = lookup_join(indexed, positions, [*_RUN, "pattern_id"], spread=["filename", "line"])
-    return joined.withColumn("rule_index", F.coalesce("rule_index", F.lit(-1)))
+    return joined.withColumn("rule_index", F.coalesce("rule_index", F.lit(-1))).drop("n_issues")
 
 
 def fingerprint_issues(issues: DataFrame, files: DataFrame) -> DataFrame:

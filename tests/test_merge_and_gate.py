@@ -115,7 +115,7 @@ def test_errors_are_joined_in_run_order(table):
 
 TOOLS = "tool_uuid string, kind string, tool string, languages array<string>, standalone boolean"
 CATALOG = [
-    ("u-pylint", "issues", "PyLint", ["Python"], False), ("u-brake", "issues", "Brake", ["Ruby"], False),
+    ("u-pycheck", "issues", "PyCheck", ["Python"], False), ("u-brick", "issues", "Brick", ["Ruby"], False),
     ("u-cop", "issues", "Cop", ["Ruby"], False), ("u-es", "issues", "ES", ["Javascript"], False),
     ("u-alone", "issues", "Alone", ["Ruby"], True), ("u-m", "metrics", "metrics", ["Ruby"], False),
     ("u-m", "metrics", "metrics", ["Ruby"], False), ("u-d", "duplication", "duplication", ["Ruby"], False),
@@ -126,9 +126,9 @@ CONFIG = "project string, tool_uuid string, enabled boolean"
 def test_tool_selection(table):
     tools = table(CATALOG, TOOLS)
     spoken = table([("r", "Ruby"), ("c", "Javascript"), ("c", "Python"), ("n", "Python"), ("x", "Cobol")], "project string, language string")
-    config = table([("c", "u-pylint", True), ("c", "u-es", True), ("c", "gone", False), ("n", "gone", True)], CONFIG)
+    config = table([("c", "u-pycheck", True), ("c", "u-es", True), ("c", "gone", False), ("n", "gone", True)], CONFIG)
     runs = planning.plan_with_fallback(config, tools, spoken).collect()
-    assert {(r.project, r.tool) for r in runs} == {("r", "Brake"), ("r", "Cop"), ("c", "PyLint"), ("c", "ES")}
+    assert {(r.project, r.tool) for r in runs} == {("r", "Brick"), ("r", "Cop"), ("c", "PyCheck"), ("c", "ES")}
     assert planning.plan_metrics_tools(tools, spoken).count() == 2, "a tool listed twice runs twice"
     errors = planning.plan_errors(spoken, planning.plan_issue_tools(tools, spoken)).collect()
     assert [r.project for r in errors] == ["x"]

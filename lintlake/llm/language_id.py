@@ -43,9 +43,11 @@ AMBIGUITY = 0.05
 
 def codewords(n: int) -> np.ndarray:
     """One row of +1 and -1 per language; every column splits the languages in two."""
+    if n < 2:
+        return np.zeros((n, 0), dtype=np.int8)
     if n <= EXHAUSTIVE_LANGUAGES:
-        splits = [[1, *[1 if split >> i & 1 else -1 for i in range(n - 1)]] for split in range(2 ** max(0, n - 1) - 1)]
-        return np.array(splits, dtype=np.int8).reshape(-1, n).T
+        splits = [[1, *[1 if split >> i & 1 else -1 for i in range(n - 1)]] for split in range(2 ** (n - 1) - 1)]
+        return np.array(splits, dtype=np.int8).T
     best, far = None, -1
     for seed in range(50):  # of some random codes the one whose nearest codewords are farthest apart
         code = np.where(np.random.default_rng(seed).random((n, CODE_BITS)) < 0.5, -1, 1).astype(np.int8)
@@ -84,13 +86,15 @@ class Model:
     def __init__(self, languages: list[str], counts: np.ndarray) -> None:
         self.languages = languages
         self.code = codewords(len(languages))
+        self.trust = np.ones(self.code.shape[1])
+        if len(languages) < 2:
+            return
         positive = (self.code > 0).astype(np.float64).T
         smooth = lambda c: (c + SMOOTHING) / (c.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
         # Languages count alike, however much text of each there is.
         rates = smooth(counts.astype(np.float64))
         share = lambda mask: mask @ rates / mask.sum(axis=1, keepdims=True)
-        self.weights = np.log(share(positive) / share(1 - positive)).astype(np.float32) if len(languages) > 1 else None
-        self.trust = np.ones(self.code.shape[1])
+        self.weights = np.log(share(positive) / share(1 - positive)).astype(np.float32)
 
     def margins(self, texts: pa.Array) -> np.ndarray:
         """Mean weight per text and bit; zeros for texts without n-grams."""

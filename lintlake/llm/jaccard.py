@@ -253,7 +253,8 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     meeting = (
         parts.groupBy("key").agg(F.min("s1").alias("leader"), F.max("s1").alias("other")).filter("leader != other").select("key", "leader")
     )
-    members = parts.join(meeting, "key").select("leader", "s1").distinct()
+    # Neither side has a bound: merged whatever the size, not broadcast while it happens to be small.
+    members = parts.join(meeting.hint("merge"), "key").select("leader", "s1").distinct()
     members = stage(members.join(classes, "s1").select("leader", "rep"), "jaccard-members")
     blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")

@@ -7,8 +7,9 @@ Which rows can link at all follows from their sizes. For strict thresholds (``PA
 (a + b)(1 - t) / (1 + t) n-grams. Rows are blocked by size into levels, columns by hash into one part more than the largest
 difference of the level. Two rows that link agree in a whole part, so only rows with an equal part (same level, same part,
 same contents) can meet; no frequent n-gram brings unrelated rows together, since a part holds several. For looser thresholds
-parts would hold too few n-grams. There a row of size n meets others by its first n - ceil(tn) + 1 n-grams in one order for
-all rows, one of which two rows that link must share; the order puts the ``FREQUENT`` most frequent n-grams of a sample of
+parts would hold too few n-grams. There a row of size n meets others by its first n - ceil(tn) + m n-grams in one order for
+all rows, m being n / ``SHARE`` but 1 at least; two rows that link must share as many of them as the smaller m, so a row that
+shares fewer with all others together is discarded at once. The order puts the ``FREQUENT`` most frequent n-grams of a sample of
 about ``SAMPLE_DOCUMENTS`` documents last, so that they bring rows together only if little else is in them. The sample
 decides how much is compared, never what links. Every set of rows that meet, held together by its smallest member, is cut into blocks of ``BLOCK`` rows, and the product is formed block by
 block: overlap counts accumulate over slices of the columns that the blocks share; rows whose shared columns are fewer
@@ -40,6 +41,8 @@ BLOCK = 256
 PARTS_FROM = 85
 SAMPLE_DOCUMENTS = 20_000
 FREQUENT = 1 << 17
+#: One in so many n-grams of a row must be shared within the prefixes.
+SHARE = 20
 #: Columns of the incidence matrix that are multiplied at once.
 COLUMNS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -133,7 +136,7 @@ class Prefixes:
         self.percent, self.frequent = percent, np.sort(frequent)
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
-        size = len(grams) - -(-self.percent * len(grams) // 100) + 1
+        size = len(grams) - -(-self.percent * len(grams) // 100) + max(1, len(grams) // SHARE)
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, grams), len(self.frequent) - 1)
             common = self.frequent[at] == grams
@@ -247,15 +250,20 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rows = stage_compressed(rows_of(documents, width, percent), "jaccard-rows")
     narrow = rows.select("doc_id", "n_shingles", "s1", "s2")
     sets = narrow.filter("n_shingles > 0 and doc_id is not null")
-    classes = stage(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
+    classes = stage(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "jaccard-classes")
 
     parts = rows.filter("n_shingles > 0 and doc_id is not null").select(F.explode("keys").alias("key"), "s1")
     meeting = (
         parts.groupBy("key").agg(F.min("s1").alias("leader"), F.max("s1").alias("other")).filter("leader != other").select("key", "leader")
     )
     # Neither side has a bound: merged whatever the size, not broadcast while it happens to be small.
-    members = parts.join(meeting.hint("merge"), "key").select("leader", "s1").distinct()
-    members = stage(members.join(classes, "s1").select("leader", "rep"), "jaccard-members")
+    met = parts.join(meeting.hint("merge"), "key").groupBy("leader", "s1").agg(F.count("*").alias("met"))
+    met = stage(met, "jaccard-met")
+    # A partner has at least percent of the row's size, and so needs at least this many common keys; copies of a text only
+    # raise the count.
+    need = F.lit(1) if percent >= PARTS_FROM else F.greatest(F.lit(1), F.floor(F.col("n") * percent / (100 * SHARE)))
+    enough = met.groupBy("s1").agg(F.sum("met").alias("met")).join(classes, "s1").filter(F.col("met") >= need)
+    members = stage(met.select("leader", "s1").join(enough.select("s1", "rep"), "s1").select("leader", "rep"), "jaccard-members")
     blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     placed = (

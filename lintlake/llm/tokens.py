@@ -19,10 +19,10 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Slots of the memo; it takes new pieces until half of them are used.
-MEMO_SLOTS = 1 << 22
+MEMO_SLOTS = 1 << 21
 #: Pieces that one call of the library gets at most, and bytes of text that are cut at once.
 CALL_PIECES = 8192
-CUT_BYTES = 2 << 20
+CUT_BYTES = 1 << 19
 END_OF_WORD = "</w>"
 _WHOLE = r"<\||[\x00-\x08\x0E-\x1F\x7F]|\x{0130}"
 _UNSAFE = r"'|[^\x00-\x7F\p{L}]"

@@ -260,7 +260,8 @@ def custom_analyser(
     """Run user code over the files of every run and isolate its failures.
 
     ``analyse`` gets a slice of the files of one run and returns result rows (``result_schema``, without
-    the run columns). Slices are Arrow batches, so no run has to fit one task. If it raises on any slice,
+    the run columns). Slices are Arrow batches, so no run has to fit one task, and ``analyse`` must treat every
+    file by itself: how a run is sliced is up to Spark. Nulls in the run columns make a run of their own. If it raises on any slice,
     the run fails: its results are dropped and one row with ``success = false`` and the message stays.
     """
     run = list(run)
@@ -271,8 +272,8 @@ def custom_analyser(
 
     def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, part in batch.groupby(run, sort=False):
-                base = dict(zip(run, key))
+            for key, part in batch.groupby(run, sort=False, dropna=False):
+                base = {name: None if pd.isna(value) else value for name, value in zip(run, key)}
                 try:
                     found = analyse(part)[names].assign(**base, success=True, error=None)
                 except Exception as error:  # the contract: a failing analyser fails its run only
@@ -281,5 +282,8 @@ def custom_analyser(
 
     raw = stage(files.mapInPandas(slices, schema), "custom-analyser")
     failed = raw.filter("not success").groupBy(*run).agg(F.min("error").alias("error"))
-    results = lookup_join(raw.filter("success"), failed.select(*run), run, spread=names, how="left_anti")
+    # Runs with a null in their key are runs like others, so nulls have to meet.
+    known = {f"_{k}": F.coalesce(k, F.lit("\0")) for k in run}
+    lost = failed.withColumns(known).select(*known)
+    results = lookup_join(raw.filter("success").withColumns(known), lost, list(known), spread=names, how="left_anti").drop(*known)
     return results.unionByName(failed.withColumn("success", F.lit(False)), allowMissingColumns=True)

@@ -204,7 +204,7 @@ class Fixtures:
     def view(self, name: str) -> DataFrame:
         if name not in self._views:
             if name in GIVEN:
-                self._views[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet", GIVEN[name])
+                self._views[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
             else:
                 sql = VIEWS[name]
                 inputs = {ref: self.view(ref) for ref in references(sql)}

@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A Parquet table, dealt out over the cluster if it has fewer files than there are cores.
-
-    A file is never read by more tasks than it has row groups, so one small file would keep a single core
-    busy. A table of many files is read as it is, without a shuffle.
-    """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if len(table.inputFiles()) < cores else table
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table as it is stored. How it is split is up to its row groups and ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(path)

@@ -50,16 +50,19 @@ def read_trees(spark: SparkSession, base: str) -> DataFrame:
     """Files below ``base/<project>/`` with their text, from any file system Spark reads.
 
     Spark's file index leaves out names that begin with a dot or an underscore; use :func:`list_trees`
-    where those count. Contents are read only if ``text`` is selected.
+    where those count. A file that is no UTF-8 has no text and is not readable. Contents are read only if ``text`` or
+    ``is_readable`` is selected.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
     relative = F.regexp_extract("path", r"^[a-z0-9]+:/*" + _quoted(base.split(":", 1)[-1].strip("/")) + r"/([^/]+)/(.*)$", 2)
     project = F.regexp_extract("path", r"^[a-z0-9]+:/*" + _quoted(base.split(":", 1)[-1].strip("/")) + r"/([^/]+)/", 1)
+    content = F.col("content").cast("string")
+    valid = F.is_valid_utf8(content)
     return files.select(
         project.alias("project"),
         relative.alias("filename"),
-        F.lit(True).alias("is_readable"),
-        F.decode("content", "UTF-8").alias("text"),
+        valid.alias("is_readable"),
+        F.when(valid, content).alias("text"),
     ).filter("project <> ''")
 
 

@@ -143,9 +143,13 @@ def sample(documents: DataFrame) -> DataFrame:
     """About SAMPLE_ROWS training rows (text, lang) per language, by hash of the id; all rows of a smaller language."""
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # One number per language, which the codebook needs on the driver anyway; joining it would move all texts.
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.join(sizes, "lang").filter(place < SAMPLE_ROWS / F.col("n")).select("text", "lang")
+    wanted = F.lit(False)
+    for lang, n in sorted(sizes.items()):
+        wanted = wanted | ((F.col("lang") == lang) & (place < SAMPLE_ROWS / n))
+    return rows.filter(wanted).select("text", "lang")
 
 
 def train(documents: DataFrame) -> Model:

@@ -276,8 +276,18 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = SpanHash()
         for batch in slices(batches, "text"):
-            grams = [s.tobytes() for s in shingle_sets(batch.column("text"), width, hashes)]
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(grams, pa.binary())], ["rep", "grams"])
+            targets = batch.column("targets")
+            sets = shingle_sets(batch.column("text"), width, hashes)
+            grams = pa.array([s.tobytes() for s in sets], pa.binary())
+            for i in range(batch.num_rows):  # a row for each block that the document is in
+                places = targets[i].values
+                times = pa.array(np.full(len(places), i))
+                for start in range(0, len(places), BLOCK):
+                    part = places.slice(start, BLOCK)
+                    at = times.slice(start, BLOCK)
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.flatten(), batch.column("rep").take(at), grams.take(at)], ["leader", "i", "j", "left", "rep", "grams"]
+                    )
 
     def multiply(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -289,14 +299,12 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         return pa.table({"a": pa.array([reps[i] for i, _ in pairs], table["rep"].type), "b": pa.array([reps[j] for _, j in pairs], table["rep"].type)})
 
     texts = documents.select(F.col("doc_id").alias("rep"), documents["text"].cast("string").alias("text"))
-    wanted = members.select("rep").distinct()
-    # A document id with several rows has several sets; each is tried.
-    incidence = texts.join(wanted, "rep", "left_semi").mapInArrow(gather, f"rep {kind}, grams binary")
-    links = (
-        placed.join(incidence, "rep")
-        .groupBy("leader", "i", "j")
-        .applyInArrow(multiply, f"a {kind}, b {kind}")
+    targets = placed.groupBy("rep").agg(F.collect_list(F.struct("leader", "i", "j", "left")).alias("targets"))
+    # The texts meet their blocks' list, so that sets move once. An id with several rows has several sets; each is tried.
+    incidence = texts.join(targets, "rep").mapInArrow(
+        gather, f"leader long, i int, j int, left boolean, rep {kind}, grams binary"
     )
+    links = incidence.groupBy("leader", "i", "j").applyInArrow(multiply, f"a {kind}, b {kind}")
     found = components(links)
     return (
         narrow.join(classes, ["s1", "s2"], "left")

@@ -301,7 +301,7 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     texts = documents.select(F.col("doc_id").alias("rep"), documents["text"].cast("string").alias("text"))
     targets = placed.groupBy("rep").agg(F.collect_list(F.struct("leader", "i", "j", "left")).alias("targets"))
     # The texts meet their blocks' list, so that sets move once. An id with several rows has several sets; each is tried.
-    incidence = texts.join(targets, "rep").mapInArrow(
+    incidence = texts.join(targets.hint("merge"), "rep").mapInArrow(
         gather, f"leader long, i int, j int, left boolean, rep {kind}, grams binary"
     )
     links = incidence.groupBy("leader", "i", "j").applyInArrow(multiply, f"a {kind}, b {kind}")

@@ -226,7 +226,7 @@ def product_links(sizes: np.ndarray, grams: list[np.ndarray], left: np.ndarray,
         matrix[at[begin:end], to[begin:end] - start] = 1
         overlap += matrix[place[rows]] @ matrix[place[others]].T
     union = sizes[rows][:, None] + sizes[others][None, :] - overlap
-    linked = np.argwhere(100 * overlap.astype(np.int64) >= percent * union.astype(np.int64))
+    linked = np.argwhere((overlap > 0) & (100 * overlap.astype(np.int64) >= percent * union.astype(np.int64)))
     root = {int(i): int(i) for i in alive}
 
     def find(i: int) -> int:
@@ -273,26 +273,12 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         .select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"), "rep")
     )
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = SpanHash()
-        for batch in slices(batches, "text"):
-            targets = batch.column("targets")
-            sets = shingle_sets(batch.column("text"), width, hashes)
-            grams = pa.array([s.tobytes() for s in sets], pa.binary())
-            for i in range(batch.num_rows):  # a row for each block that the document is in
-                places = targets[i].values
-                times = pa.array(np.full(len(places), i))
-                for start in range(0, len(places), BLOCK):
-                    part = places.slice(start, BLOCK)
-                    at = times.slice(start, BLOCK)
-                    yield pa.RecordBatch.from_arrays(
-                        [*part.flatten(), batch.column("rep").take(at), grams.take(at)], ["leader", "i", "j", "left", "rep", "grams"]
-                    )
+    hashes = SpanHash()
 
     def multiply(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         reps = table["rep"].to_pylist()
-        grams = [np.frombuffer(g, dtype=np.uint64) for g in table["grams"].to_pylist()]
+        grams = [g for batch in slices(table.select(["text"]).to_batches(), "text") for g in shingle_sets(batch.column("text"), width, hashes)]
         left = table["left"].to_numpy(zero_copy_only=False).astype(bool)
         sizes = np.array([len(g) for g in grams])
         pairs = product_links(sizes, grams, left, percent)
@@ -300,10 +286,10 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     texts = documents.select(F.col("doc_id").alias("rep"), documents["text"].cast("string").alias("text"))
     targets = placed.groupBy("rep").agg(F.collect_list(F.struct("leader", "i", "j", "left")).alias("targets"))
-    # The texts meet their blocks' list, so that sets move once. An id with several rows has several sets; each is tried.
-    incidence = texts.join(targets.hint("merge"), "rep").mapInArrow(
-        gather, f"leader long, i int, j int, left boolean, rep {kind}, grams binary"
-    )
+    # The texts meet their blocks' list; an id with several rows has several sets, and each is tried. The lists have no bound
+    # either, so this join is merged at every size, too. Texts travel on to the blocks: they are far smaller than their sets.
+    meet = texts.join(targets.hint("merge"), "rep").select(F.explode("targets").alias("at"), "rep", "text")
+    incidence = meet.select("at.*", "rep", "text")
     links = incidence.groupBy("leader", "i", "j").applyInArrow(multiply, f"a {kind}, b {kind}")
     found = components(links)
     return (

@@ -37,45 +37,55 @@ class Rule:
     enabled: bool = True
 
 
-def rules_of(patterns: DataFrame) -> list[Rule]:
-    """Rules of a pattern catalog. They become literals of the plan, so every regex is compiled once per task."""
-    columns = ["tool", "pattern_id", "id", "regex", "level", "category", "message", "languages", "enabled"]
-    rows = patterns.select(*columns).distinct().orderBy("tool", "pattern_id").collect()
-    return [Rule(**row.asDict()) for row in rows]
-
-
-def _hit(rule: Rule, has_ids: bool) -> Column:
-    test = F.col("tool") == rule.tool
-    if rule.languages:
-        test = test & F.col("language").isin(*rule.languages)
-    allowed = F.lit(rule.enabled)
-    if has_ids:
-        allowed = F.coalesce(F.array_contains("pattern_ids", rule.id), allowed)
-    found = F.struct(
-        F.lit(rule.pattern_id).alias("pattern_id"),
-        F.lit(rule.message).alias("message"),
-        F.lit(rule.level).alias("level"),
-        F.lit(rule.category).alias("category"),
-    )
-    return F.when(test & allowed & F.col("_text").rlike(rule.regex), found)
+_RULE_SCHEMA = (
+    "tool string, pattern_id string, id string, regex string, level string, category string, message string, "
+    "languages array<string>, enabled boolean"
+)
+
+
+def rules_of(patterns: DataFrame) -> DataFrame:
+    """Rules of a pattern catalog, one row per tool, so that the plan does not grow with the catalog.
+
+    A row is bounded by the catalog of its tool. Staged: its true size decides whether it is broadcast.
+    """
+    languages = F.coalesce("languages", F.array().cast("array<string>")).alias("languages")
+    rule = F.struct("pattern_id", "id", "regex", "level", "category", "message", languages, "enabled")
+    return stage(patterns.groupBy("tool").agg(F.array_sort(F.collect_set(rule)).alias("_rules")), "scan-rules")
 
 
-def scan_issues(files: DataFrame, rules: Sequence[Rule], fingerprints: bool = False) -> DataFrame:
+def scan_issues(files: DataFrame, rules: DataFrame | Sequence[Rule], fingerprints: bool = False) -> DataFrame:
     """Every line against every rule of the run's tool; one issue per rule and line, numbered from 1.
 
-    An optional column ``pattern_ids`` names the patterns that may run; where it is null the rules'
-    own ``enabled`` flags decide. ``fingerprints`` adds the fingerprint of each issue while its line is at
-    hand, which saves joining the texts later. Nothing is shuffled.
+    ``rules`` come from :func:`rules_of`. An optional column ``pattern_ids`` names the patterns that may run;
+    where it is null the rules' own ``enabled`` flags decide. ``fingerprints`` adds the fingerprint of each
+    issue while its line is at hand, which saves joining the texts later. A file meets its tool's rules one
+    after the other and each rule all lines, so a regex is compiled once per file.
     """
+    if not isinstance(rules, DataFrame):
+        given = [(r.tool, r.pattern_id, r.id, r.regex, r.level, r.category, r.message, list(r.languages), r.enabled) for r in rules]
+        rules = rules_of(files.sparkSession.createDataFrame(given, _RULE_SCHEMA))
     has_ids = "pattern_ids" in files.columns
-    carried = ["project", "tool", "language", "filename", *(["pattern_ids"] if has_ids else [])]
-    lines = files.select(*carried, F.posexplode(tx.split_lines(F.col("text"))).alias("_pos", "_text"))
-    hits = F.array_compact(F.array(*[_hit(rule, has_ids) for rule in rules]))
-    found = lines.select("project", "tool", "language", "filename", "_pos", "_text", F.explode(hits).alias("_hit"))
-    hashed = tx.fingerprint(F.col("filename"), F.col("_hit.pattern_id"), F.col("_text")).alias("fingerprint")
+
+    def may_run(rule: Column) -> Column:
+        allowed = F.coalesce(F.array_contains("pattern_ids", rule["id"]), rule["enabled"]) if has_ids else rule["enabled"]
+        return allowed & ((F.size(rule["languages"]) == 0) | F.array_contains(rule["languages"], F.col("language")))
+
+    def hits_of(rule: Column, lines: Column) -> Column:
+        # Unlike rlike, regexp_instr keeps the compiled regex from line to line.
+        hit = F.filter(lines, lambda line: F.regexp_instr(line["text"], rule["regex"]) > 0)
+        fields = [rule[name].alias(name) for name in ("pattern_id", "message", "level", "category")]
+        return F.transform(hit, lambda line: F.struct(*fields, line["line"].alias("line"), line["text"].alias("text")))
+
+    numbered = F.transform(tx.split_lines(F.col("text")), lambda line, i: F.struct((i + 1).alias("line"), line.alias("text")))
+    active = F.filter("_rules", may_run)
+    # The lines are bound to a lambda's variable, so that no rule splits the text again.
+    hits = F.transform(F.array(numbered), lambda lines: F.flatten(F.transform(active, lambda rule: hits_of(rule, lines))))
+    ruled = lookup_join(files, rules, ["tool"], spread=["filename"], how="inner")
+    found = ruled.select("project", "tool", "language", "filename", F.explode(F.flatten(hits)).alias("_hit"))
+    hashed = tx.fingerprint(F.col("filename"), F.col("_hit.pattern_id"), F.col("_hit.text")).alias("fingerprint")
     return found.select(
         "project", "tool", "language", "_hit.pattern_id", "filename", "_hit.message", "_hit.level", "_hit.category",
-        (F.col("_pos") + 1).alias("line"), F.lit(None).cast("int").alias("column"), *([hashed] if fingerprints else []),
+        "_hit.line", F.lit(None).cast("int").alias("column"), *([hashed] if fingerprints else []),
     )
 
 
@@ -256,13 +266,15 @@ def custom_analyser(
     analyse: Callable[[pd.DataFrame], pd.DataFrame],
     result_schema: str,
     run: Sequence[str] = ("project", "tool", "language"),
+    whole_runs: bool = False,
 ) -> DataFrame:
     """Run user code over the files of every run and isolate its failures.
 
-    ``analyse`` gets a slice of the files of one run and returns result rows (``result_schema``, without
-    the run columns). Slices are Arrow batches, so no run has to fit one task, and ``analyse`` must treat every
-    file by itself: how a run is sliced is up to Spark. Nulls in the run columns make a run of their own. If it raises on any slice,
-    the run fails: its results are dropped and one row with ``success = false`` and the message stays.
+    ``analyse`` gets a frame with one file (one row) and returns result rows (``result_schema``, without the run
+    columns); it is called once per file, so results do not depend on how Spark slices a run. With
+    ``whole_runs`` it gets all files of a run at once, in no set order: for analysers that compare files, and
+    only where every run fits one task. Nulls in the run columns make a run of their own. If it raises on any
+    file, the run fails: its results are dropped and one row with ``success = false`` and the message stays.
     """
     run = list(run)
     keys = ", ".join(f"{k} string" for k in run)
@@ -270,17 +282,21 @@ def custom_analyser(
     names = [part.strip().split(" ")[0] for part in result_schema.split(",")]
     columns = [*run, "success", "error", *names]
 
-    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def outcome(part: pd.DataFrame) -> pd.DataFrame:
+        base = {name: None if pd.isna(value) else value for name, value in part[run].iloc[0].items()}
+        try:
+            found = analyse(part)[names].assign(**base, success=True, error=None)
+        except Exception as error:  # the contract: a failing analyser fails its run only
+            found = pd.DataFrame([{**base, "success": False, "error": str(error), **dict.fromkeys(names)}])
+        return found[columns]
+
+    def by_file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, part in batch.groupby(run, sort=False, dropna=False):
-                base = {name: None if pd.isna(value) else value for name, value in zip(run, key)}
-                try:
-                    found = analyse(part)[names].assign(**base, success=True, error=None)
-                except Exception as error:  # the contract: a failing analyser fails its run only
-                    found = pd.DataFrame([{**base, "success": False, "error": str(error), **dict.fromkeys(names)}])
-                yield found[columns]
-
-    raw = stage(files.mapInPandas(slices, schema), "custom-analyser")
+            for at in range(len(batch)):
+                yield outcome(batch.iloc[[at]])
+
+    called = files.groupBy(*run).applyInPandas(outcome, schema) if whole_runs else files.mapInPandas(by_file, schema)
+    raw = stage(called, "custom-analyser")
     failed = raw.filter("not success").groupBy(*run).agg(F.min("error").alias("error"))
     # Runs with a null in their key are runs like others, so nulls have to meet.
     known = {f"_{k}": F.coalesce(k, F.lit("\0")) for k in run}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lintlake.functions.scale import lookup_join, spread_rank, weighted_join
@@ -24,39 +25,29 @@ def _plan_batches(counts: DataFrame, size: int) -> DataFrame:
     many files there are. Adds ``start`` (batch of the first file), ``first`` (files that still fit that
     batch) and ``per_batch`` (files in each later batch).
     """
-    small = (F.col("n_results") > 0) & (F.col("n_results") < size)
-    classes = counts.groupBy(*_RUN).agg(
-        F.coalesce(F.sum(F.when(F.col("n_results") >= size, F.col("_count"))), F.lit(0)).alias("_big"),
-        F.sort_array(F.collect_list(F.when(small, F.struct("n_results", "_count"))), asc=False).alias("_classes"),
-    )
-    folded = F.aggregate("_classes", _initial(), lambda s, c: _step(s, c, size))
-    planned = classes.withColumn("_fold", folded)
-    rest = F.struct(
-        F.lit(0).cast("bigint").alias("n"), F.col("_fold.batch").alias("start"),
-        F.lit(0).cast("bigint").alias("first"), F.lit(0).cast("bigint").alias("per_batch"),
-    )
-    plan = F.concat(F.col("_fold.plan"), F.array(rest))
-    return planned.select(*_RUN, F.inline(plan)).withColumnRenamed("n", "n_results")
 
-
-def _initial() -> Column:
-    entry = "array<struct<n:bigint,start:bigint,first:bigint,per_batch:bigint>>"
-    return F.struct(
-        F.lit(0).cast("bigint").alias("acc"), F.col("_big").alias("batch"), F.array().cast(entry).alias("plan")
-    )
-
-
-def _step(state: Column, group: Column, size: int) -> Column:
-    n, count = group["n_results"], group["_count"]
-    room, per_batch = _quotient(F.lit(size - 1) - state["acc"], n), _quotient(F.lit(size - 1), n)
-    over = count - room
-    opened = _quotient(over + per_batch - 1, per_batch)
-    entry = F.struct(n.alias("n"), state["batch"].alias("start"), room.alias("first"), per_batch.alias("per_batch"))
-    return F.struct(
-        F.when(over <= 0, state["acc"] + count * n).otherwise((over - (opened - 1) * per_batch) * n).alias("acc"),
-        F.when(over <= 0, state["batch"]).otherwise(state["batch"] + opened).alias("batch"),
-        F.concat(state["plan"], F.array(entry)).alias("plan"),
-    )
+    def fold(pairs: pd.DataFrame) -> pd.DataFrame:
+        ordered = pairs.sort_values("n_results", ascending=False)
+        used, batch, plan = 0, 0, []
+        for n, count in zip(ordered["n_results"].tolist(), ordered["_count"].tolist()):
+            if n >= size:
+                batch += count
+            elif n > 0:
+                room, per_batch = (size - 1 - used) // n, (size - 1) // n
+                plan.append((n, batch, room, per_batch))
+                over = count - room
+                if over <= 0:
+                    used += count * n
+                else:
+                    opened = -(-over // per_batch)
+                    used, batch = (over - (opened - 1) * per_batch) * n, batch + opened
+        plan.append((0, batch, 0, 0))
+        found = pd.DataFrame(plan, columns=["n_results", "start", "first", "per_batch"])
+        return found.assign(**pairs[_RUN].iloc[0])
+
+    runs = ", ".join(f"{key} string" for key in _RUN)
+    schema = f"{runs}, n_results long, start long, first long, per_batch long"
+    return counts.groupBy(*_RUN).applyInPandas(fold, schema)
 
 
 def _quotient(a: Column, b: Column) -> Column:

@@ -57,10 +57,12 @@ def fill_missing_loc(run_files: DataFrame, metrics: DataFrame, files: DataFrame)
     """Every run file with metrics and a line count.
 
     ``metrics`` has one row per (project, filename), see :func:`latest_metrics`; rows of files outside
-    the run drop out. Texts are counted where they are read, only the counts are joined.
+    the run drop out. Texts are counted where they are read, only the counts are joined; ``files`` that carry
+    a ``loc`` already are not counted again.
     """
     values = metrics.drop("language", "run_order", "tool")
-    counted = files.select("project", "filename", tx.count_loc(F.col("text")).alias("_loc"))
+    loc = F.col("loc") if "loc" in files.columns else tx.count_loc(F.col("text"))
+    counted = files.select("project", "filename", loc.alias("_loc"))
     joined = run_files.join(values, ["project", "filename"], "left").join(counted, ["project", "filename"], "left")
     filled = joined.withColumn("loc", F.coalesce("loc", "_loc")).drop("_loc")
     if "line_complexities" in values.columns:

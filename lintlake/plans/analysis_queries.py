@@ -61,7 +61,7 @@ def _sql_metrics() -> str:
         from (select *, {sql_lines('text')} as lines from detected)"""
 
 
-def _sql_clones(source: str, prefix: str) -> dict[str, str]:
+def sql_clones(source: str, prefix: str) -> dict[str, str]:
     """Clone detection over ``source (project, language, filename, text)``, as named results."""
     key = "project, language"
     return {
@@ -162,9 +162,9 @@ ctes(
              using (project, language, filename)
         join kept k on k.project = f.project and k.filename = f.filename""",
     clone_files="select distinct project, language, filename, text from run_files where kind = 'duplication' and success",
-    **_sql_clones("clone_files", "clone"),
+    **sql_clones("clone_files", "clone"),
     all_lang_files="select 'all' as project, 'any' as language, project || '/' || filename as filename, text from files",
-    **_sql_clones("all_lang_files", "wide"),
+    **sql_clones("all_lang_files", "wide"),
     gate_input="""
         select l.project, l.max_allowed, l.fail_if_incomplete, coalesce(n.n, 0) as n_issues, coalesce(f.failed, false) as any_failure,
                p.project is not null as no_tools
@@ -271,15 +271,18 @@ def detect_clones(fx: Fixtures) -> DataFrame:
     return analysers.detect_clones(_wide_files(fx)).select(*_CLONE)
 
 
-ctes(
-    wide_clones=f"""
+def sql_clone_texts(source: str, prefix: str) -> str:
+    """One row per clone of ``sql_clones`` with the text of its first occurrence."""
+    return f"""
     select c.project, c.language, c.clone_id, c.nr_lines, c.nr_tokens, c.n as n_occurrences,
            array_to_string({sql_lines('f.text')}[c.start_line:c.start_line + c.nr_lines - 1], chr(10)) as clone_lines
     from (select project, language, clone_id, nr_lines, nr_tokens, cast(count(*) as int) as n, min((filename, start_line)) as first,
                  arg_min(filename, (filename, start_line)) as filename, arg_min(start_line, (filename, start_line)) as start_line
-          from wide_occurrences group by 1, 2, 3, 4, 5) c
-    join all_lang_files f on f.filename = c.filename""",
-)
+          from {prefix}_occurrences group by 1, 2, 3, 4, 5) c
+    join {source} f on f.project = c.project and f.language = c.language and f.filename = c.filename"""
+
+
+ctes(wide_clones=sql_clone_texts("all_lang_files", "wide"))
 
 
 @query(

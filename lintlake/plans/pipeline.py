@@ -105,12 +105,16 @@ class Analysis:
     @cached_property
     def metrics(self) -> DataFrame:
         """Metrics of every file of a metrics run, with line counts, one row per (project, language, file)."""
-        files = self.files_of("metrics").select("project", "language", "filename", "text")
-        computed = analysers.compute_metrics(files.withColumn("run_order", F.lit(1)), self.metric_rules)
+        # Files of failed runs only get their line count, which the same pass over the texts takes.
+        asked = self.runs.filter("kind = 'metrics'").groupBy("project", "kind", F.lit("metrics").alias("tool"), "language")
+        wanted = asked.agg(F.max("success").alias("success"))
+        files = paths.filter_tool(wanted, self.kept, self.tool_rules, self.suffixes)
+        files = files.select("project", "language", "filename", "success", "text").withColumn("run_order", F.lit(1))
+        measured = stage(analysers.compute_metrics(files, self.metric_rules), "measured")
         # One row per language and file already, so only the languages are left to merge.
-        merged = merge.latest_metrics(computed)
-        run_files = merge.run_files_union(self.run_files.filter("kind = 'metrics'"))
-        return merge.fill_missing_loc(run_files, merged, self.kept)
+        merged = merge.latest_metrics(measured.filter("success").drop("success"))
+        run_files = merge.run_files_union(measured)
+        return merge.fill_missing_loc(run_files, merged, measured.select("project", "filename", "loc").distinct())
 
     @cached_property
     def clone_occurrences(self) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lintlake.functions import text as tx
-from lintlake.functions.scale import scratch_path, stage
+from lintlake.functions.scale import lookup_join, scratch_path, stage
 from lintlake.operators import analysers, export, gate, merge, report
-from lintlake.plans.analysis_queries import _wide_files, all_issues
+from lintlake.plans.analysis_queries import _wide_files, all_issues, sql_clone_texts, sql_clones
 from lintlake.plans.fixtures import Fixtures
 from lintlake.plans.registry import ctes, query
 from lintlake.sources import results as documents
@@ -18,6 +18,27 @@ _RUN = "project, tool, language"
 _ISSUE_JSON = """to_json({'Issue': {'patternId': {'value': pattern_id}, 'filename': filename, 'message': {'text': message},
     'level': level, 'category': category, 'location': {'LineLocation': {'line': line}}}})"""
 _ERROR_JSON = "to_json({'FileError': {'filename': filename, 'message': message}})"
+_METRICS_JSON = """to_json({'FileMetrics': {'filename': filename, 'complexity': complexity, 'loc': loc, 'cloc': null,
+    'nrMethods': null, 'nrClasses': null, 'lineComplexities': []}})"""
+_CLONE_JSON = "cast(to_json({'cloneLines': clone_lines, 'nrTokens': nr_tokens, 'nrLines': nr_lines}) as varchar)"
+_PLACE_JSON = "cast(to_json({'filePath': filename, 'startLine': start_line, 'endLine': end_line}) as varchar)"
+
+
+def _sql_batches(source: str, prefix: str, size: int) -> dict[str, str]:
+    """Greedy batches of the files of ``source``, as named results."""
+    return {
+        f"{prefix}_order": f"""
+        select *, row_number() over (partition by project, tool, language order by least(n_results, {size}) desc, md5(filename)) as rn from {source}""",
+        f"recursive_{prefix}": f"""
+        select project, tool, language, filename, n_results, rn, n_results as acc, 0 as batch from {prefix}_order where rn = 1
+        union all
+        select o.project, o.tool, o.language, o.filename, o.n_results, o.rn,
+               case when b.acc + o.n_results >= {size} then o.n_results else b.acc + o.n_results end,
+               case when b.acc + o.n_results >= {size} then b.batch + 1 else b.batch end
+        from recursive_{prefix} b join {prefix}_order o
+        on o.project = b.project and o.tool = b.tool and o.language = b.language and o.rn = b.rn + 1""",
+    }
+
 
 ctes(
     good_report_runs="select project, tool, language from report_runs where kind = 'issues' and success",
@@ -57,16 +78,14 @@ ctes(
     file_counts="""
         select f.project, f.tool, f.language, f.filename, count(r.kind) as n_results
         from report_run_files f left join report_results r using (project, tool, language, filename) group by all""",
-    packing_order=f"""
-        select *, row_number() over (partition by project, tool, language order by least(n_results, {BATCH_SIZE}) desc, md5(filename)) as rn from file_counts""",
-    recursive_batches=f"""
-        select project, tool, language, filename, n_results, rn, n_results as acc, 0 as batch from packing_order where rn = 1
-        union all
-        select o.project, o.tool, o.language, o.filename, o.n_results, o.rn,
-               case when b.acc + o.n_results >= {BATCH_SIZE} then o.n_results else b.acc + o.n_results end,
-               case when b.acc + o.n_results >= {BATCH_SIZE} then b.batch + 1 else b.batch end
-        from recursive_batches b join packing_order o
-        on o.project = b.project and o.tool = b.tool and o.language = b.language and o.rn = b.rn + 1""",
+    **_sql_batches("file_counts", "batches", BATCH_SIZE),
+    order_counts="""
+        select 'p' || (o_custkey % 40) as project, 'lint-a' as tool, 'any' as language, cast(o_orderkey as varchar) as filename,
+               cast(floor(o_totalprice) as bigint) % 60000 as n_results from orders""",
+    **_sql_batches("order_counts", "defaults", export.DEFAULT_BATCH_SIZE),
+    own_files="select project, 'any' as language, filename, text from files",
+    **sql_clones("own_files", "own"),
+    own_clones=sql_clone_texts("own_files", "own"),
     result_json=f"""
         select f.project, f.tool, f.language, f.filename, cast(r.item as varchar) as json
         from report_run_files f left join (
@@ -79,15 +98,22 @@ ctes(
         union all select project, case when complexity is null then 'No [Metrics] found in ' || filename || '.'
             else 'Found [Metrics] in ' || filename || ':' || chr(10) || '  CC - ' || complexity || chr(10) || '  LOC - ' || loc end
         from report_metrics
-        union all select distinct 'all', 'Found [Clone] ' || nr_lines || ' duplicated lines with ' || nr_tokens || ' tokens:'
-            from (select distinct clone_id, nr_lines, nr_tokens from wide_occurrences) c
-        union all select 'all', '  ' || filename || chr(10) || string_agg('    l. ' || start_line || ' - ' || end_line, chr(10) order by start_line)
-            from wide_occurrences group by clone_id, filename""",
+        union all select project, 'Found [Clone] ' || nr_lines || ' duplicated lines with ' || nr_tokens || ' tokens:'
+            from (select distinct project, clone_id, nr_lines, nr_tokens from own_occurrences) c
+        union all select project, '  ' || filename || chr(10) || string_agg('    l. ' || start_line || ' - ' || end_line, chr(10) order by start_line)
+            from own_occurrences group by project, clone_id, filename""",
     shown_json=f"""
-        select project, {_ISSUE_JSON} as line from report_issues
-        union all select project, {_ERROR_JSON} from report_errors
-        union all select project, to_json({{'FileMetrics': {{'filename': filename, 'complexity': complexity, 'loc': loc, 'cloc': null,
-            'nrMethods': null, 'nrClasses': null, 'lineComplexities': []}}}}) from report_metrics""",
+        select project, 1 as s1, filename || chr(1) || lpad(cast(line as varchar), 10, '0') as s2, 0 as s3,
+               cast({_ISSUE_JSON} as varchar) as s4, cast({_ISSUE_JSON} as varchar) as shown from report_issues
+        union all select project, 1, filename || chr(1) || '0000000000', 0, cast({_ERROR_JSON} as varchar), cast({_ERROR_JSON} as varchar)
+            from report_errors
+        union all select project, 2, filename, 0, '', cast({_METRICS_JSON} as varchar) from report_metrics
+        union all select project, 3, clone_id, 0, '',
+               '{{"DuplicationClone":' || left({_CLONE_JSON}, length({_CLONE_JSON}) - 1) || ',"files":[' from own_clones
+        union all select project, 3, clone_id, 1, spot,
+               case when spot = min(spot) over (partition by project, clone_id) then '' else ',' end || {_PLACE_JSON}
+            from (select *, filename || chr(1) || lpad(cast(start_line as varchar), 10, '0') as spot from own_occurrences) x
+        union all select project, 3, clone_id, 2, '', ']}}}}' from own_clones""",
 )
 
 
@@ -142,6 +168,34 @@ def occurrences(fx: Fixtures) -> DataFrame:
     return stage(analysers.detect_clones(_wide_files(fx)), "occurrences")
 
 
+def own_files(fx: Fixtures) -> DataFrame:
+    """Every project by itself."""
+    return fx.files.select("project", F.lit("any").alias("language"), "filename", "text")
+
+
+def own_occurrences(fx: Fixtures) -> DataFrame:
+    return stage(analysers.detect_clones(own_files(fx)), "occurrences")
+
+
+def json_records(fx: Fixtures) -> DataFrame:
+    places = own_occurrences(fx)
+    found = stage(analysers.clones(places, own_files(fx)), "clones")
+    return report.render_json(results(fx), metrics(fx)).unionByName(report.clone_json_lines(found, places))
+
+
+def clone_objects(fx: Fixtures) -> DataFrame:
+    """Clones as one JSON object per clone and file: any number of files can share a clone."""
+    places = own_occurrences(fx)
+    entry = F.struct(F.col("filename").alias("filePath"), F.col("start_line").alias("startLine"), F.col("end_line").alias("endLine"))
+    by_file = places.groupBy("project", "clone_id", "filename").agg(F.collect_list(entry).alias("files"))
+    found = analysers.clones(places, own_files(fx))
+    shown = lookup_join(by_file, found, ["project", "clone_id"], spread=["filename"])
+    clone = F.struct(
+        F.col("clone_lines").alias("cloneLines"), F.col("nr_tokens").alias("nrTokens"), F.col("nr_lines").alias("nrLines"), "files"
+    )
+    return shown.select(F.to_json(F.struct(clone.alias("DuplicationClone"))).alias("line"))
+
+
 # ---------------------------------------------------------------- expressions
 
 
@@ -321,14 +375,10 @@ def clone_files_grouped(fx: Fixtures) -> DataFrame:
     return grouped.withColumn("ranges", F.array_join("ranges", ","))
 
 
-_TEXT_CLONES = "select project, line from shown_text"
-
-
-@query("render_text", _TEXT_CLONES.replace("shown_text", "shown_text where project <> 'all'"))
+@query("render_text", "select project, line from shown_text")
 def render_text(fx: Fixtures) -> DataFrame:
-    """The plain report of issues, file errors and metrics."""
-    nothing = occurrences(fx).limit(0)
-    return report.render_text(results(fx), metrics(fx), nothing).select("project", "line")
+    """The plain report of issues, file errors, metrics and clones."""
+    return report.render_text(results(fx), metrics(fx), own_occurrences(fx)).select("project", "line")
 
 
 @query(
@@ -344,21 +394,21 @@ def render_clones(fx: Fixtures) -> DataFrame:
     return report.clone_text_lines(occurrences(fx)).select("line")
 
 
-@query("render_json", "select project, cast(line as varchar) as line from shown_json")
+@query("render_json", "select project, shown as line from shown_json")
 def render_json(fx: Fixtures) -> DataFrame:
-    return report.render_json(results(fx), metrics(fx)).select("project", "line")
+    return json_records(fx).select("project", "line")
 
 
 @query(
     "write_text",
     """
-    select project, unnest(string_split(line, chr(10))) as line from shown_text where project <> 'all'
+    select project, unnest(string_split(line, chr(10))) as line from shown_text
     union all select project, 'Starting analysis ...' from projects
     union all select project, 'Analysis complete' from projects""",
 )
 def write_text(fx: Fixtures) -> DataFrame:
     """The plain report, written and read back line by line."""
-    body = report.render_text(results(fx), metrics(fx), occurrences(fx).limit(0))
+    body = report.render_text(results(fx), metrics(fx), own_occurrences(fx))
     path = scratch_path(fx.spark, "text-report")
     documents.write_document(report.text_document(fx.projects, body), path)
     return documents.read_document(fx.spark, path)
@@ -367,33 +417,39 @@ def write_text(fx: Fixtures) -> DataFrame:
 @query(
     "write_json",
     """
-    select project, cast(line as varchar) as line from shown_json
+    select project, case when (s1 <> 3 or s3 = 0) and row_number() over (partition by project order by s1, s2, s3, s4) > 1
+                         then ',' else '' end || shown as line from shown_json
     union all select project, '[' from projects union all select project, ']' from projects""",
 )
 def write_json(fx: Fixtures) -> DataFrame:
-    """The JSON report, written and read back; separating commas are cut off for the comparison."""
+    """The JSON report, written and read back, with its separating commas."""
     path = scratch_path(fx.spark, "json-report")
-    documents.write_document(report.json_document(fx.projects, report.render_json(results(fx), metrics(fx))), path)
-    return documents.read_document(fx.spark, path).withColumn("line", F.regexp_replace("line", "^,", ""))
+    documents.write_document(report.json_document(fx.projects, json_records(fx)), path)
+    return documents.read_document(fx.spark, path)
 
 
 @query(
     "read_results",
     """
-    select 'Issue' as kind, filename, pattern_id, message, level, line from report_issues
-    union all select 'FileError', filename, null, message, null, null from report_errors
-    union all select 'FileMetrics', filename, null, null, null, loc from report_metrics""",
+    select 'Issue' as kind, filename, pattern_id, message, level, category, line, case when line % 3 = 0 then line + 1 end as col,
+           null as complexity, null as loc, null as start_line, null as end_line, null as nr_lines, null as nr_tokens from report_issues
+    union all select 'FileError', filename, null, message, null, null, null, null, null, null, null, null, null, null from report_errors
+    union all select 'FileMetrics', filename, null, null, null, null, null, null, complexity, loc, null, null, null, null from report_metrics
+    union all select 'DuplicationClone', filename, null, null, null, null, null, null, null, null, start_line, end_line, nr_lines, nr_tokens
+        from own_occurrences""",
 )
 def read_results(fx: Fixtures) -> DataFrame:
-    """Tagged JSON results, written one per line, decoded and taken apart."""
+    """Tagged JSON results of all kinds, written one per line, decoded and taken apart."""
     path = scratch_path(fx.spark, "results")
-    report.render_json(results(fx), metrics(fx)).select("line").write.text(path)
+    placed = results(fx).withColumn("column", F.when(F.col("line") % 3 == 0, F.col("line") + 1))
+    report.render_json(placed, metrics(fx)).select("line").union(clone_objects(fx)).write.text(path)
     decoded = documents.read_results(fx.spark, path, lines=True)
-    found = documents.issues(decoded).drop("category", "column").withColumn("kind", F.lit("Issue"))
+    found = documents.issues(decoded).withColumnRenamed("column", "col").withColumn("kind", F.lit("Issue"))
     errors = documents.file_errors(decoded).withColumn("kind", F.lit("FileError"))
-    measured = documents.metrics(decoded).select(F.lit("FileMetrics").alias("kind"), "filename", F.col("loc").alias("line"))
-    both = found.unionByName(errors, allowMissingColumns=True)
-    return both.unionByName(measured, allowMissingColumns=True)
+    measured = documents.metrics(decoded).select(F.lit("FileMetrics").alias("kind"), "filename", "complexity", "loc")
+    copied = documents.clone_occurrences(decoded).drop("clone_id").withColumn("kind", F.lit("DuplicationClone"))
+    both = found.unionByName(errors, allowMissingColumns=True).unionByName(measured, allowMissingColumns=True)
+    return both.unionByName(copied, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- export
@@ -420,6 +476,17 @@ def upload_batches(fx: Fixtures) -> DataFrame:
     return export.upload_batches(stage(counts, "result-counts"), BATCH_SIZE)
 
 
+@query("upload_batches_default", f"select {_RUN}, filename, n_results, batch from recursive_defaults")
+def upload_batches_default(fx: Fixtures) -> DataFrame:
+    """Batches of the default size, of files with thousands of different numbers of results."""
+    price = F.floor("o_totalprice").cast("bigint") % 60000
+    counts = fx.view("orders").select(
+        F.concat(F.lit("p"), (F.col("o_custkey") % 40).cast("string")).alias("project"), F.lit("lint-a").alias("tool"),
+        F.lit("any").alias("language"), F.col("o_orderkey").cast("string").alias("filename"), price.alias("n_results"),
+    )
+    return export.upload_batches(counts)
+
+
 @query("count_results_by_file", f"select {_RUN}, filename, n_results from file_counts")
 def count_results_by_file(fx: Fixtures) -> DataFrame:
     return merge.count_results_by_file(run_files(fx), results(fx))

@@ -82,24 +82,32 @@ def _top(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sims)), k), columns.reshape(-1)
 
 
-def projected(units: DataFrame, seed: int, n: int) -> DataFrame:
-    """Edges of one random order."""
+def projected(units: DataFrame, orders: range, n: int) -> DataFrame:
+    """Edges of several random orders, which are laid out one behind the other and walked in one job."""
     bits = max(0, int(np.ceil(np.log2(max(1, n) / RUN)))) if n else 0
     bits = min(bits, 30)
+    axes_of: dict[tuple[int, int], np.ndarray] = {}
+
+    def axes(order: int, length: int) -> np.ndarray:
+        if (order, length) not in axes_of:
+            axes_of[order, length] = np.random.default_rng([order, length]).standard_normal((bits + 1, length))
+        return axes_of[order, length]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = []
-            for x in _matrix(batch.column("unit")):
-                axes = np.random.default_rng([seed, len(x)]).standard_normal((bits + 1, len(x)))
-                at = axes @ x
-                sign = int("0" + "".join("1" if a > 0 else "0" for a in at[:bits]), 2)
-                keys.append((sign << 32) | int((np.tanh(at[bits]) + 1) / 2 * (2**32 - 1)))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("unit"), pa.array(keys, pa.int64())], ["rep", "unit", "key"])
+            vectors = _matrix(batch.column("unit"))
+            for order in orders:
+                keys = []
+                for x in vectors:
+                    at = axes(order, len(x)) @ x
+                    sign = int("0" + "".join("1" if a > 0 else "0" for a in at[:bits]), 2)
+                    keys.append((order << 58) | (sign << 28) | int((np.tanh(at[bits]) + 1) / 2 * (2**28 - 1)))
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("unit"), pa.array(keys, pa.int64())], ["rep", "unit", "key"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reps: list[int] = []
         vectors: list[np.ndarray] = []
+        current = None
 
         def edges() -> Iterator[pa.RecordBatch]:
             ids = np.array(reps)
@@ -111,7 +119,13 @@ def projected(units: DataFrame, seed: int, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[of[a]]), pa.array(ids[of[b]]), pa.array(sims[a, b])], ["v", "u", "sim"])
 
         for batch in batches:
-            for rep, x in zip(batch.column("rep").to_pylist(), _matrix(batch.column("unit")), strict=True):
+            for rep, key, x in zip(batch.column("rep").to_pylist(), batch.column("key").to_pylist(), _matrix(batch.column("unit")), strict=True):
+                if key >> 58 != current:
+                    if len(reps) > 1:
+                        yield from edges()
+                    reps.clear()
+                    vectors.clear()
+                    current = key >> 58
                 reps.append(rep)
                 vectors.append(x)
                 if len(reps) == RUN:
@@ -190,10 +204,8 @@ def descend(units: DataFrame) -> tuple[DataFrame, float]:
     n = units.count()
     lists, recall = None, 0.0
     for effort in range(EFFORTS):
-        for order in range(ORDERS):
-            edges = projected(units, effort * ORDERS + order, n)
-            lists = edges if lists is None else lists.union(edges)
-        lists = stage(best(lists, 0), "lists")
+        edges = projected(units, range(effort * ORDERS, (effort + 1) * ORDERS), n)
+        lists = stage(best(edges if lists is None else lists.union(edges), 0), "lists")
         for round_ in range(1, ROUNDS + 1):
             before = lists.agg(F.count("*"), F.sum("sim")).first()
             lists = stage(best(lists.union(refined(lists, units, round_)), round_), "lists")

@@ -54,6 +54,8 @@ def vertices(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # -0.0 and 0.0 are one value.
     rows = rows.withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
+    # Staged, so that the optimizer does not carry the checks above through the grouping and the join by the vector.
+    rows = stage_compressed(rows, "vectors")
     groups = rows.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
 
     def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,10 +7,12 @@ topological order. Arguments are checked against the tool's JSON schema, and eve
 sorted, no spaces, text as it is.
 
 Defined results: of calls that share an id in a conversation the first by position counts, the others are ``duplicate`` and
-stay; of results that share an id the first counts; a call without a result is unanswered, a result without a call is an
+stay; of results that share an id the first by (position, content) counts, the others are rows of kind ``duplicate result``
+if ``link`` is asked for them, as the query does; a call without a result is unanswered, a result without a call is an
 ``orphan`` row; a parent that does not exist is no parent; calls on a cycle, or that depend on one, have a null depth and
 the error ``cycle``; an unknown tool, arguments that are no JSON and violated schemas are errors; null ids link with
-nothing; extra columns are ignored.
+nothing; extra columns are ignored. Of a table of turns every row is in the result: as a call, as the result in its call's
+line, as an orphan or duplicate, or as a ``message`` if its role is neither user nor assistant.
 """
 
 from __future__ import annotations
@@ -94,6 +96,9 @@ def depths(calls: DataFrame) -> DataFrame:
     return now.select("conv_id", "call_id", F.when(F.col("next").isNull(), F.col("depth")).alias("depth"))
 
 
+_LINKED = "call_id string, kind string, depth long, position long, answered boolean, error string, line string"
+
+
 def _serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schemas: dict[str, dict] = {}
     for batch in batches:
@@ -112,7 +117,7 @@ def _serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         schemas[row["schema"]] = json.loads(row["schema"])
                     error = violation(arguments, schemas[row["schema"]])
             message = {"call": row["call_id"], "tool": row["tool"], "arguments": arguments, "parent": row["parent_id"]}
-            if row["answered"] or row["kind"] == "orphan":
+            if row["answered"] or row["kind"] in ("orphan", "duplicate result"):
                 message["result"] = row["content"]
             if error:
                 message["error"] = error
@@ -124,20 +129,20 @@ def _serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
+def link(calls: DataFrame, results: DataFrame, tools: DataFrame, surplus: bool = False) -> DataFrame:
     """One row per call or orphan result: conv_id, call_id, kind, depth, position, answered, error, line.
 
     calls: conv_id, call_id, parent_id, position, tool, arguments (JSON). results: conv_id, call_id, position, content.
     tools: tool, schema (JSON). Sorted by (conv_id, depth, position, call_id), the lines of a conversation are its format.
+    With ``surplus``, a call's results after the first are rows too.
     """
     order = Window.partitionBy("conv_id", "call_id").orderBy("position", "tool", "arguments", "parent_id")
     calls = calls.select("conv_id", "call_id", "parent_id", F.col("position").cast("long").alias("position"), "tool", "arguments")
     identified = F.col("call_id").isNotNull() & F.col("conv_id").isNotNull()
     ranked = stage(calls.withColumn("first", identified & (F.row_number().over(order) == 1)), "calls")
-    answers = results.select("conv_id", "call_id", "position", "content").dropna(subset=["conv_id", "call_id"])
-    answers = answers.groupBy("conv_id", "call_id").agg(
-        F.min(F.struct(F.col("position").cast("long").alias("position"), "content")).alias("answer")
-    )
+    answer = F.struct(F.col("position").cast("long").alias("position"), "content")
+    given = results.select("conv_id", "call_id", answer.alias("answer")).dropna(subset=["conv_id", "call_id"])
+    answers = given.groupBy("conv_id", "call_id").agg(F.min("answer").alias("answer"))
     unique = ranked.filter("first")
     linked = unique.join(answers, ["conv_id", "call_id"], "left").join(depths(unique), ["conv_id", "call_id"])
     tools = tools.groupBy("tool").agg(F.min("schema").alias("schema"))
@@ -160,12 +165,22 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
         nothing("string").alias("tool"), nothing("string").alias("arguments"), F.lit(False).alias("answered"), "content",
         F.lit("no such call").alias("error"),
     )
-    rows = proper.select(columns).union(repeated.select(columns)).union(alone.select(columns)).join(tools, "tool", "left")
+    rows = proper.select(columns).union(repeated.select(columns)).union(alone.select(columns))
+    if surplus:
+        # Equal results are counted before they meet their call's answer, and become rows again after it.
+        copies = given.groupBy("conv_id", "call_id", "answer").agg(F.count("*").alias("copies"))
+        taken = linked.select("conv_id", "call_id", F.col("answer").alias("taken"))
+        left = F.col("copies") - F.when(F.col("answer") == F.col("taken"), 1).otherwise(0)
+        more = copies.join(taken, ["conv_id", "call_id"]).withColumn("left", left).filter("left > 0")
+        more = more.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "left"))).select(
+            "conv_id", "call_id", F.lit("duplicate result").alias("kind"), nothing("string").alias("parent_id"), nothing("long").alias("depth"),
+            "answer.position", nothing("string").alias("tool"), nothing("string").alias("arguments"), F.lit(False).alias("answered"),
+            "answer.content", F.lit("duplicate result").alias("error"),
+        )
+        rows = rows.union(more.select(columns))
+    rows = rows.join(tools, "tool", "left")
     kind = rows.schema["conv_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        _serialise,
-        f"conv_id {kind}, call_id string, kind string, depth long, position long, answered boolean, error string, line string",
-    )
+    return rows.mapInArrow(_serialise, f"conv_id {kind}, {_LINKED}")
 
 
 ASK = {
@@ -180,7 +195,8 @@ def turns_as_calls(spark: SparkSession, conversations: DataFrame) -> tuple[DataF
     """Calls, results and tools of plain conversations.
 
     A user's turn is a call of the tool ``ask`` that builds on the user's turn two turns before; the turn after it, if it
-    is the assistant's, is its result. Other assistant's turns are results without a call; system turns are neither.
+    is the assistant's, is its result. Other assistant's turns are results without a call; all other turns are neither, see
+    ``turns_as_messages``.
     """
     turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"))
     name = lambda turn: F.concat_ws("-", F.lit("ask"), F.col("conv_id").cast("string"), turn.cast("string"))
@@ -192,3 +208,27 @@ def turns_as_calls(spark: SparkSession, conversations: DataFrame) -> tuple[DataF
         "conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")
     )
     return calls, results, spark.createDataFrame([("ask", json.dumps(ASK))], "tool string, schema string")
+
+
+def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
+        lines = [canonical({"role": role, "content": text}) for role, text in zip(roles, texts, strict=True)]
+        n = len(lines)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("conv_id"), pa.nulls(n, pa.string()), pa.array(["message"] * n, pa.string()), pa.nulls(n, pa.int64()),
+             batch.column("turn"), pa.array([False] * n, pa.bool_()), pa.nulls(n, pa.string()), pa.array(lines, pa.string())],
+            ["conv_id", *_LINKED.replace(" string", "").replace(" long", "").replace(" boolean", "").split(", ")],
+        )
+
+
+def turns_as_messages(conversations: DataFrame) -> DataFrame:
+    """The turns that are neither calls nor results, system turns above all, as rows of kind ``message`` like those of ``link``."""
+    turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    others = turns.filter(~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False)))
+    return others.mapInArrow(_write, f"conv_id {turns.schema['conv_id'].dataType.simpleString()}, {_LINKED}")
+
+
+def linked_turns(spark: SparkSession, conversations: DataFrame) -> DataFrame:
+    """The linked rows of plain conversations: every turn is in a row of its own or is the result in its call's line."""
+    return link(*turns_as_calls(spark, conversations), surplus=True).union(turns_as_messages(conversations))

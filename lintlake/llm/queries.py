@@ -52,7 +52,7 @@ def op7_blocked_product_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.link(*chat.turns_as_calls(spark, _table(spark, sf_dir, "conversations")))
+    return chat.linked_turns(spark, _table(spark, sf_dir, "conversations"))
 
 
 def op9_huffman_store(spark: SparkSession, sf_dir: str) -> DataFrame:

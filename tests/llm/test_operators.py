@@ -247,3 +247,20 @@ def test_chat_linking(spark):
     assert found[2, "a", "call"]["error"] == "unknown tool" and '"arguments":{"a":[1,2],"b":1}' in found[2, "a", "call"]["line"]
     assert [found[3, f"n{i}", "call"]["depth"] for i in range(40)] == list(range(40))
     assert chat.link(frames[0].limit(0), frames[1].limit(0), frames[2].limit(0)).count() == 0
+
+
+def test_every_turn_is_in_the_output(spark):
+    turns = [(1, 0, "system", "prompt"), (1, 1, "user", "q1"), (1, 2, "assistant", "b"), (1, 2, "assistant", "a"), (1, 2, "assistant", "a"),
+             (1, 2, "assistant", None), (1, 3, "user", "q3"), (1, 3, "user", "q3"), (1, 4, None, "no role"), (1, 5, "tool", "é"),
+             (1, 9, "assistant", "alone"), (1, 9, "assistant", "alone"), (2, 0, "system", None), (None, 0, "system", "no id")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    rows = chat.linked_turns(spark, frame).collect()
+    lines = collections.Counter((r["conv_id"], r["kind"], r["position"], r["line"]) for r in rows)
+    assert len(rows) + sum(r["answered"] for r in rows) == len(turns)
+    assert lines[1, "message", 0, '{"content":"prompt","role":"system"}'] == 1
+    assert lines[1, "message", 4, '{"content":"no role","role":null}'] == 1 and lines[1, "message", 5, '{"content":"é","role":"tool"}'] == 1
+    assert lines[2, "message", 0, '{"content":null,"role":"system"}'] == 1 and lines[None, "message", 0, '{"content":"no id","role":"system"}'] == 1
+    surplus = sorted(json.loads(r["line"])["result"] for r in rows if r["kind"] == "duplicate result")
+    assert surplus == ["a", "a", "b"]  # the null text is the first and the answer
+    assert [r["kind"] for r in rows if r["position"] == 9] == ["orphan"] * 2
+    assert chat.linked_turns(spark, frame.limit(0)).count() == 0

@@ -6,9 +6,11 @@ refined: every vertex compares its neighbours and those it is a neighbour of wit
 worst entry of either's list replace it. A list is ``NEIGHBOURS`` long; one that is saturated, full of pairs over the
 threshold, doubles in the next round.
 
-Pairs over the threshold link. Recall is audited against brute force for a bounded sample of vertices; while it is below
-``RECALL``, more orders and rounds are added, at most ``EFFORTS`` times. Lists end, groups may not: within every
-component found, members are compared in blocks, in double precision, so that each vertex has the exact number of links
+Pairs over the threshold link. Lists end, so a link between two vertices whose lists are both saturated may have been
+dropped; a link of any other vertex that was met is in its list. Saturated vertices of different components are therefore
+compared exactly: in blocks of a component, of which only pairs are left out whose centers and radii prove that no link
+joins them. Recall is audited against brute force for a bounded sample of vertices; while it is below
+``RECALL``, more orders and rounds are added, at most ``EFFORTS`` times. Within every component found, members are compared in blocks, in double precision, so that each vertex has the exact number of links
 to its component however long its list would have to be. Only counts leave those tasks.
 
 Defined results: null, zero and non-finite vectors and vectors with null components have no links and are components of
@@ -220,6 +222,100 @@ def descend(units: DataFrame) -> tuple[DataFrame, float]:
     return lists, recall
 
 
+def _stars(linked: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id with the first of those that its links lead to, by a symmetric matrix of links."""
+    first, before = np.arange(len(ids)), None
+    while before is None or (first != before).any():
+        before = first
+        first = np.minimum(first, np.where(linked, first[None, :], len(ids)).min(axis=1))
+        first = first[first]
+    other = first != np.arange(len(ids))
+    return ids[other], ids[first[other]]
+
+
+def block_links(rows: DataFrame, units: DataFrame) -> DataFrame:
+    """(a, b): edges that connect what the links between rows (id, component) of different components connect, exactly.
+
+    Rows of a null component are compared with all others. Blocks of at most about ``BLOCK`` rows are compared unless the
+    angle between their centers exceeds both radii and the threshold's angle.
+    """
+    sizes = rows.groupBy(F.col("component").alias("whole")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    members = stage_compressed(
+        rows.join(sizes, F.col("component").eqNullSafe(F.col("whole"))).select("id", "component", own.alias("own"))
+        .join(units.select(F.col("rep").alias("id"), "unit"), "id")
+        .withColumn("length", F.length("unit")).withColumn("block", F.xxhash64("component", "own", "length")),
+        "block-members",
+    )
+
+    def summarise(table: pa.Table) -> pa.Table:
+        x = np.stack(_matrix(table["unit"].combine_chunks()))
+        center = x.mean(axis=0)
+        norm = np.linalg.norm(center)
+        center = center / norm if norm > 1e-9 else x[0]
+        radius = float(np.arccos(np.clip(x @ center, -1, 1)).max())
+        first = lambda name: table[name].slice(0, 1).combine_chunks()
+        return pa.table({"block": first("block"), "component": first("component"), "length": first("length"), "center": pa.array([center.astype("<f8").tobytes()], pa.binary()), "radius": [radius]})
+
+    blocks = stage_compressed(
+        members.groupBy("block").applyInArrow(summarise, "block long, component long, length int, center binary, radius double"), "blocks"
+    )
+    tiles = max(1, -(-blocks.count() // BLOCK))
+    tile = F.pmod(F.xxhash64("block"), F.lit(tiles))
+    dealt = blocks.withColumn("own", tile).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+
+    def near(table: pa.Table) -> pa.Table:
+        names, own, i, j = (table[c].to_numpy() for c in ("block", "own", "i", "j"))
+        component, radius, length = table["component"].to_pylist(), table["radius"].to_numpy(), table["length"].to_numpy()
+        alone = np.array([c is None for c in component])
+        numbers = np.array([0 if c is None else c for c in component])
+        left, right = [], []
+        centers = _matrix(table["center"].combine_chunks())
+        for size in set(length.tolist()):
+            of = np.flatnonzero(length == size)
+            x = np.stack([centers[k] for k in of])
+            reach = radius[of][:, None] + radius[of][None, :] + np.arccos(THRESHOLD) + 1e-6
+            close = np.arccos(np.clip(x @ x.T, -1, 1)) <= reach
+            close &= (numbers[of][:, None] != numbers[of][None, :]) | alone[of][:, None] | alone[of][None, :]
+            # Each pair of blocks once, from the only tile pair that has them on the right sides.
+            close &= names[of][:, None] <= names[of][None, :]
+            if i[0] != j[0]:
+                close &= own[of][:, None] != own[of][None, :]
+            a, b = np.nonzero(close)
+            left.append(names[of][a])
+            right.append(names[of][b])
+        return pa.table({"one": np.concatenate(left), "two": np.concatenate(right)})
+
+    pairs = stage(dealt.groupBy("i", "j").applyInArrow(near, "one long, two long"), "near-blocks")
+    vectors = members.select("block", "id", "unit")
+    sides = pairs.join(vectors, F.col("one") == F.col("block")).union(
+        pairs.filter("one != two").join(vectors, F.col("two") == F.col("block"))
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, block = table["id"].to_numpy(), table["block"].to_numpy()
+        x = np.stack(_matrix(table["unit"].combine_chunks()))
+        linked = x @ x.T >= THRESHOLD
+        if (block != block[0]).any():
+            linked &= block[:, None] != block[None, :]
+        a, b = _stars(linked, ids)
+        return pa.table({"a": a, "b": b})
+
+    return sides.groupBy("one", "two").applyInArrow(compare, "a long, b long")
+
+
+def groups_of(lists: DataFrame, units: DataFrame) -> DataFrame:
+    """(id, component): components of the lists' links and of the links between saturated vertices that lists dropped."""
+    links = stage(lists.filter(F.col("sim") >= THRESHOLD).select(F.col("v").alias("a"), F.col("u").alias("b")), "links")
+    found = stage(components(links), "vector-components")
+    saturated = links.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") >= NEIGHBOURS).select(F.col("a").alias("id"))
+    dropped = stage(block_links(found.join(saturated, "id"), units), "dropped-links")
+    if not dropped.limit(1).count():
+        return found
+    return stage(components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(dropped)), "vector-components")
+
+
 def link_counts(found: DataFrame, units: DataFrame) -> DataFrame:
     """(rep, links): linked other rows within the component, copies of linked vectors counted each."""
     sizes = found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -251,8 +347,7 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per input row; kept marks each component's smallest id."""
     classes, units = vertices(embeddings)
     lists, _ = descend(units)
-    links = lists.filter(F.col("sim") >= THRESHOLD).select(F.col("v").alias("a"), F.col("u").alias("b"))
-    found = stage(components(links), "vector-components")
+    found = groups_of(lists, units)
     counts = link_counts(found, units).join(found.select(F.col("id").alias("rep"), "component"), "rep")
     known = units.select("rep", "copies").join(counts, "rep", "left").select(
         "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")

@@ -264,3 +264,39 @@ def test_every_turn_is_in_the_output(spark):
     assert surplus == ["a", "a", "b"]  # the null text is the first and the answer
     assert [r["kind"] for r in rows if r["position"] == 9] == ["orphan"] * 2
     assert chat.linked_turns(spark, frame.limit(0)).count() == 0
+
+
+def two_groups(rng, size: int = 30, length: int = 64) -> np.ndarray:
+    """Two groups of near copies: about 0.97 within and between 0.9 and 0.95 across."""
+    base, away = np.linalg.qr(rng.standard_normal((length, 2)))[0].T
+    centers = np.stack([base, 0.945 * base + np.sqrt(1 - 0.945**2) * away])
+    noise = rng.standard_normal((2, size, length))
+    noise /= np.linalg.norm(noise, axis=2, keepdims=True)
+    return (centers[:, None, :] + 0.17 * noise).reshape(2 * size, length)
+
+
+def test_groups_of_near_copies_are_linked_across(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    vectors = np.concatenate((two_groups(rng, 100), rng.standard_normal((100, 64))))
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert (unit @ unit.T)[:100, 100:200].max() >= 0.9  # the groups are one component
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in neighbours.near_duplicates(frame).collect()}
+    assert {found[i]["component_id"] for i in range(200)} == {0}
+    assert all(found[i]["n_links"] == linked[i].sum() for i in range(300))
+
+
+def test_exact_blocks_find_all_links(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 8)
+    rng = np.random.default_rng(8)
+    vectors = np.concatenate((two_groups(rng), rng.standard_normal((60, 64))))
+    vectors[70] = vectors[90] + 0.01
+    units = spark.createDataFrame(
+        [(i, 1, bytearray((v / np.linalg.norm(v)).astype("<f8").tobytes())) for i, v in enumerate(vectors)], "rep long, copies long, unit binary"
+    )
+    rows = units.select(F.col("rep").alias("id"), F.lit(None).cast("long").alias("component"))
+    found = {r["id"]: r["component"] for r in graph.components(neighbours.block_links(rows, units)).collect()}
+    assert found == {i: 0 for i in range(60)} | {70: 70, 90: 70}

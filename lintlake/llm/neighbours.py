@@ -4,13 +4,16 @@ Equal vectors are one vertex. The neighbour graph starts from ``ORDERS`` random-
 vectors are sorted by the signs of random hyperplanes and a projection, and compared within overlapping runs. Then it is
 refined: every vertex compares its neighbours and those it is a neighbour of with each other, and pairs better than the
 worst entry of either's list replace it. A list is ``NEIGHBOURS`` long; one that is saturated, full of pairs over the
-threshold, doubles in the next round.
+threshold, doubles in the next round. The orders of an effort grow with the bits of their signs, so that a lone pair at
+the threshold's angle shares all signs in one of them with probability ``RECALL``.
 
 Pairs over the threshold link. Lists end, so a link between two vertices whose lists are both saturated may have been
 dropped; a link of any other vertex that was met is in its list. Saturated vertices of different components are therefore
 compared exactly: in blocks of a component, of which only pairs are left out whose centers and radii prove that no link
-joins them. Recall is audited against brute force for a bounded sample of vertices; while it is below
-``RECALL``, more orders and rounds are added, at most ``EFFORTS`` times. Within every component found, members are compared in blocks, in double precision, so that each vertex has the exact number of links
+joins them. Recall is audited against brute force for a sample of vertices: the share of those with links all of whose links
+are within their component. The sample grows until it holds ``LINKED`` vertices with links or all vertices. While recall is
+below ``RECALL``, more orders and rounds are added; if it still is after ``EFFORTS`` times, all vectors are compared in
+blocks. Recall and the vertices it rests on are logged and are the metadata of the result's column ``component_id``. Within every component found, members are compared in blocks, in double precision, so that each vertex has the exact number of links
 to its component however long its list would have to be. Only counts leave those tasks.
 
 Defined results: null, zero and non-finite vectors and vectors with null components have no links and are components of
@@ -20,6 +23,7 @@ id and vector count as copies; extra columns are ignored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +41,11 @@ RUN = 256
 ROUNDS = 3
 RECALL = 0.95
 EFFORTS = 3
+#: Vertices that an audit asks at first, and linked ones among them that it needs.
 AUDITED = 256
+LINKED = 64
 BLOCK = 512
+_LOG = logging.getLogger(__name__)
 _EDGE = "v long, u long, sim double"
 
 
@@ -86,10 +93,20 @@ def _top(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sims)), k), columns.reshape(-1)
 
 
+def sign_bits(n: int) -> int:
+    """Signs that deal n vectors to runs of about ``RUN``."""
+    return min(30, max(0, int(np.ceil(np.log2(n / RUN))))) if n else 0
+
+
+def orders_of(n: int) -> int:
+    """Random orders of an effort over n vectors."""
+    together = (1 - np.arccos(THRESHOLD) / np.pi) ** sign_bits(n)
+    return ORDERS if together == 1 else max(ORDERS, int(np.ceil(np.log(1 - RECALL) / np.log(1 - together))))
+
+
 def projected(units: DataFrame, orders: range, n: int) -> DataFrame:
     """Edges of several random orders, which are laid out one behind the other and walked in one job."""
-    bits = max(0, int(np.ceil(np.log2(max(1, n) / RUN)))) if n else 0
-    bits = min(bits, 30)
+    bits = sign_bits(n)
     axes_of: dict[tuple[int, int], np.ndarray] = {}
 
     def axes(order: int, length: int) -> np.ndarray:
@@ -105,7 +122,7 @@ def projected(units: DataFrame, orders: range, n: int) -> DataFrame:
                 for x in vectors:
                     at = axes(order, len(x)) @ x
                     sign = int("0" + "".join("1" if a > 0 else "0" for a in at[:bits]), 2)
-                    keys.append((order << 58) | (sign << 28) | int((np.tanh(at[bits]) + 1) / 2 * (2**28 - 1)))
+                    keys.append(((order - orders.start) << 54) | (sign << 24) | int((np.tanh(at[bits]) + 1) / 2 * (2**24 - 1)))
                 yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("unit"), pa.array(keys, pa.int64())], ["rep", "unit", "key"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,12 +141,12 @@ def projected(units: DataFrame, orders: range, n: int) -> DataFrame:
 
         for batch in batches:
             for rep, key, x in zip(batch.column("rep").to_pylist(), batch.column("key").to_pylist(), _matrix(batch.column("unit")), strict=True):
-                if key >> 58 != current:
+                if key >> 54 != current:
                     if len(reps) > 1:
                         yield from edges()
                     reps.clear()
                     vectors.clear()
-                    current = key >> 58
+                    current = key >> 54
                 reps.append(rep)
                 vectors.append(x)
                 if len(reps) == RUN:
@@ -171,55 +188,54 @@ def refined(lists: DataFrame, units: DataFrame, round_: int) -> DataFrame:
     return around.groupBy("v").applyInArrow(compare, _EDGE)
 
 
-def _audit(lists: DataFrame, units: DataFrame, n: int) -> float:
-    """Share of the sampled vertices' true links, by brute force over all vectors, that lead into their own component."""
+def _audit(found: DataFrame, units: DataFrame, n: int) -> tuple[float, int]:
+    """Share of the asked vertices with links, all of whose links lead into their own component, and how many they are."""
     place = F.pmod(F.xxhash64("rep", F.lit("audit")), F.lit(1 << 30))
-    asked = units.filter(place <= (1 << 30) * min(1.0, AUDITED / max(1, n))).select("rep", "unit").limit(4 * AUDITED).collect()
-    by_length: dict[int, tuple[list[int], list[np.ndarray]]] = {}
-    for row in asked:
-        x = np.frombuffer(row["unit"], dtype="<f8")
-        ids, rows = by_length.setdefault(len(x), ([], []))
-        ids.append(row["rep"])
-        rows.append(x)
-    ready = {length: (np.array(ids), np.stack(rows)) for length, (ids, rows) in by_length.items()}
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            reps = batch.column("rep").to_numpy()
-            vectors = _matrix(batch.column("unit"))
-            for length, (ids, queries) in ready.items():
-                of = np.array([i for i, x in enumerate(vectors) if len(x) == length], dtype=int)
-                if len(of):
-                    q, r = np.nonzero(queries @ np.stack([vectors[i] for i in of]).T >= THRESHOLD)
-                    other = ids[q] != reps[of[r]]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[q][other]), pa.array(reps[of[r]][other])], ["a", "b"])
-
-    true = units.select("rep", "unit").mapInArrow(ask, "a long, b long")
-    found = components(lists.filter(F.col("sim") >= THRESHOLD).select(F.col("v").alias("a"), F.col("u").alias("b")))
+    asked, linked = AUDITED, 0
+    while True:
+        share = min(1.0, asked / max(1, n))
+        # Asked vertices are dealt to parts that one task holds beside its own vectors.
+        parts = -(-asked // (4 * AUDITED))
+        sample = units.filter(place < F.lit(1 << 30) * share).select(
+            "rep", "unit", F.pmod(F.xxhash64("rep", F.lit("part")), F.lit(parts)).cast("int").alias("part")
+        )
+        true = stage(_asked_links(sample, units, parts), "audit")
+        linked = true.select("a").distinct().count()
+        if linked >= LINKED or share == 1:
+            break
+        asked *= 4
     side = lambda name: found.select(F.col("id").alias(name), F.col("component").alias(f"of_{name}"))
-    row = true.join(side("a"), "a", "left").join(side("b"), "b", "left").agg(
-        F.count("*").alias("n"), F.sum(F.when(F.col("of_a") == F.col("of_b"), 1).otherwise(0)).alias("hit")
-    ).first()
-    return (row["hit"] or 0) / row["n"] if row["n"] else 1.0
-
+    whole = F.min(F.coalesce(F.col("of_a") == F.col("of_b"), F.lit(False)).cast("int"))
+    row = true.join(side("a"), "a", "left").join(side("b"), "b", "left").groupBy("a").agg(whole.alias("hit")).agg(F.sum("hit").alias("hit")).first()
+    return (row["hit"] or 0) / linked if linked else 1.0, linked
+
+
+def _asked_links(sample: DataFrame, units: DataFrame, parts: int) -> DataFrame:
+    """(a, b): links of the sample's vertices to all vertices, by brute force."""
+    asking = stage_compressed(sample, "asked")
+    count = units.count()
+    slots = max(1, -(-count // (8 * BLOCK)))
+    slot = F.pmod(F.xxhash64("rep", F.lit("slot")), F.lit(slots)).cast("int")
+    both = asking.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).withColumn("asks", F.lit(True)).union(
+        units.select("rep", "unit", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), slot.alias("slot"), F.lit(False).alias("asks"))
+    )
 
-def descend(units: DataFrame) -> tuple[DataFrame, float]:
-    """The refined lists, and their audited recall."""
-    n = units.count()
-    lists, recall = None, 0.0
-    for effort in range(EFFORTS):
-        edges = projected(units, range(effort * ORDERS, (effort + 1) * ORDERS), n)
-        lists = stage(best(edges if lists is None else lists.union(edges), 0), "lists")
-        for round_ in range(1, ROUNDS + 1):
-            before = lists.agg(F.count("*"), F.sum("sim")).first()
-            lists = stage(best(lists.union(refined(lists, units, round_)), round_), "lists")
-            after = lists.agg(F.count("*"), F.sum("sim")).first()
-            if before[0] == after[0] and (after[1] or 0) - (before[1] or 0) < 1e-4 * max(1, n):
-                break
-        recall = _audit(lists, units, n)
-        if recall >= RECALL:
-            break
-    return lists, recall
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        reps, asks = table["rep"].to_numpy(), table["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        vectors = _matrix(table["unit"].combine_chunks())
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for length in {len(x) for x in vectors}:
+            of = np.array([len(x) == length for x in vectors])
+            one, two = np.flatnonzero(of & asks), np.flatnonzero(of & ~asks)
+            if len(one) and len(two):
+                q, r = np.nonzero(np.stack([vectors[i] for i in one]) @ np.stack([vectors[i] for i in two]).T >= THRESHOLD)
+                other = reps[one[q]] != reps[two[r]]
+                a.append(reps[one[q[other]]])
+                b.append(reps[two[r[other]]])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return both.groupBy("part", "slot").applyInArrow(compare, "a long, b long")
 
 
 def _stars(linked: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -316,6 +332,30 @@ def groups_of(lists: DataFrame, units: DataFrame) -> DataFrame:
     return stage(components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(dropped)), "vector-components")
 
 
+def descend(units: DataFrame) -> tuple[DataFrame, float, int]:
+    """The components of vertices with links, their audited recall, and the linked vertices it rests on."""
+    n = units.count()
+    orders = orders_of(n)
+    lists = None
+    for effort in range(EFFORTS):
+        edges = projected(units, range(effort * orders, (effort + 1) * orders), n)
+        lists = stage(best(edges if lists is None else lists.union(edges), 0), "lists")
+        for round_ in range(1, ROUNDS + 1):
+            before = lists.agg(F.count("*"), F.sum("sim")).first()
+            lists = stage(best(lists.union(refined(lists, units, round_)), round_), "lists")
+            after = lists.agg(F.count("*"), F.sum("sim")).first()
+            if before[0] == after[0] and (after[1] or 0) - (before[1] or 0) < 1e-4 * max(1, n):
+                break
+        found = groups_of(lists, units)
+        recall, linked = _audit(found, units, n)
+        _LOG.info("effort %d: recall %.4f of %d linked vertices", effort + 1, recall, linked)
+        if recall >= RECALL:
+            return found, recall, linked
+    _LOG.warning("recall %.4f of %d linked vertices is below %.2f: all vectors are compared", recall, linked, RECALL)
+    every = block_links(units.select(F.col("rep").alias("id"), F.lit(None).cast("long").alias("component")), units)
+    return stage(components(every), "vector-components"), 1.0, linked
+
+
 def link_counts(found: DataFrame, units: DataFrame) -> DataFrame:
     """(rep, links): linked other rows within the component, copies of linked vectors counted each."""
     sizes = found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -346,8 +386,7 @@ def link_counts(found: DataFrame, units: DataFrame) -> DataFrame:
 def near_duplicates(embeddings: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per input row; kept marks each component's smallest id."""
     classes, units = vertices(embeddings)
-    lists, _ = descend(units)
-    found = groups_of(lists, units)
+    found, recall, linked = descend(units)
     counts = link_counts(found, units).join(found.select(F.col("id").alias("rep"), "component"), "rep")
     known = units.select("rep", "copies").join(counts, "rep", "left").select(
         "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
@@ -356,4 +395,5 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     others = embeddings.select("vec_id").join(classes.select("vec_id").distinct(), "vec_id", "left_anti").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
-    return valid.union(others).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    rows = valid.union(others).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return rows.withMetadata("component_id", {"recall": recall, "audited": linked})

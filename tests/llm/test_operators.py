@@ -300,3 +300,21 @@ def test_exact_blocks_find_all_links(spark, monkeypatch):
     rows = units.select(F.col("rep").alias("id"), F.lit(None).cast("long").alias("component"))
     found = {r["id"]: r["component"] for r in graph.components(neighbours.block_links(rows, units)).collect()}
     assert found == {i: 0 for i in range(60)} | {70: 70, 90: 70}
+
+
+def test_recall_below_the_target_is_completed(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    monkeypatch.setattr(neighbours, "EFFORTS", 1)
+    monkeypatch.setattr(neighbours, "projected", lambda units, orders, n: spark.createDataFrame([], neighbours._EDGE))
+    rng = np.random.default_rng(9)
+    vectors = np.repeat(rng.standard_normal((150, 32)), 2, axis=0) + 0.01 * rng.standard_normal((300, 32))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    result = neighbours.near_duplicates(frame)
+    told = result.schema["component_id"].metadata
+    assert told["recall"] == 1 and told["audited"] >= neighbours.LINKED
+    found = {r["vec_id"]: r for r in result.collect()}
+    assert all(found[i]["component_id"] == i - i % 2 and found[i]["n_links"] == 1 for i in range(300))
+
+
+def test_orders_grow_with_the_bits():
+    assert [neighbours.orders_of(n) for n in (0, 1, 600, 100_000, 10_000_000)] == [8, 8, 8, 11, 35]

@@ -318,3 +318,20 @@ def test_recall_below_the_target_is_completed(spark, monkeypatch):
 
 def test_orders_grow_with_the_bits():
     assert [neighbours.orders_of(n) for n in (0, 1, 600, 100_000, 10_000_000)] == [8, 8, 8, 11, 35]
+
+
+def test_html_of_copies_and_unclosed_elements(spark):
+    copy = "<html><body><div class=text><p>The article</p></div></body></html>"
+    rows = [(i, "http://copies.example/x", copy) for i in range(4)]
+    rows += [(10 + i, "http://two.example/x", f"<div><p>Same</p></div><section><h2>Head {i % 2}</h2></section>") for i in range(4)]
+    rows += [(20, "http://a.example/", "<html><head><title>T</title><meta charset=u><body><article>Body one</article></body></html>"),
+             (21, "http://b.example/", "<head><title>T</title><p>Body two</p>"),
+             (22, "http://c.example/", "<article><p>Before <svg width=1 /> after</p></article>"),
+             (23, "http://d.example/", "<article><div><button>Go</div><p>Kept</p></article><button>More</button>"),
+             (24, "http://e.example/", "<article><p>x <select><option>1<option>2</select> y</p><noscript><p>n</p></noscript></article>"),
+             (25, "http://f.example/", "<head><title>T</title></head><body><svg><path d=x></svg><main>Main</main><iframe src=y></body>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html.extract(frame).collect()}
+    assert [found[i] for i in range(4)] == ["The article"] * 4
+    assert [found[10 + i] for i in range(4)] == [f"Same\n\nHead {i % 2}" for i in range(4)]
+    assert [found[i] for i in range(20, 26)] == ["Body one", "Body two", "Before after", "Kept", "x y", "Main"]

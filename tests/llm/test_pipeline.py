@@ -25,4 +25,4 @@ def test_stages_keep_clean_documents_and_drop_the_rest(spark):
 
 
 def test_every_operator_is_registered():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lintlake.functions import text as tx
+from lintlake.functions import regexes, text as tx
 from lintlake.functions.scale import lookup_join, stage, weighted_join
 
 ISSUE_COLUMNS = [
@@ -43,45 +43,77 @@ _RULE_SCHEMA = (
 )
 
 
+_RULE = ["pattern_id", "id", "regex", "level", "category", "message", "languages", "enabled", "literals"]
+_HIT = ["pattern_id", "message", "level", "category"]
+_HIT_TYPE = "struct<pattern_id:string,message:string,level:string,category:string,line:int,text:string>"
+
+
+def broken_rules(patterns: DataFrame) -> DataFrame:
+    """(tool, pattern_id, regex, error) of the patterns that do not compile."""
+    error = F.concat(F.lit("Broken pattern "), F.coalesce("pattern_id", F.lit("")))
+    return patterns.filter(~regexes.is_usable(F.col("regex"))).select("tool", "pattern_id", "regex", error.alias("error"))
+
+
+def _literals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(literals=batch["regex"].map(regexes.required_literals))
+
+
 def rules_of(patterns: DataFrame) -> DataFrame:
-    """Rules of a pattern catalog, one row per tool, so that the plan does not grow with the catalog.
+    """Usable rules of a pattern catalog, one row per tool, so that the plan does not grow with the catalog.
 
-    A row is bounded by the catalog of its tool. Staged: its true size decides whether it is broadcast.
+    Each rule knows strings of which a matching line contains one, see :func:`regexes.required_literals`. Patterns that
+    do not compile are left out, see :func:`broken_rules`. A row is bounded by the catalog of its tool. Staged: its true
+    size decides whether it is broadcast.
     """
     languages = F.coalesce("languages", F.array().cast("array<string>")).alias("languages")
-    rule = F.struct("pattern_id", "id", "regex", "level", "category", "message", languages, "enabled")
-    return stage(patterns.groupBy("tool").agg(F.array_sort(F.collect_set(rule)).alias("_rules")), "scan-rules")
+    columns = [languages if c == "languages" else F.col(c) for c in ("tool", *_RULE[:-1])]
+    usable = patterns.filter(regexes.is_usable(F.col("regex"))).select(*columns).coalesce(1)
+    known = usable.mapInPandas(_literals, f"{_RULE_SCHEMA}, literals array<string>")
+    return stage(known.groupBy("tool").agg(F.array_sort(F.collect_set(F.struct(*_RULE))).alias("_rules")), "scan-rules")
 
 
-def scan_issues(files: DataFrame, rules: DataFrame | Sequence[Rule], fingerprints: bool = False) -> DataFrame:
-    """Every line against every rule of the run's tool; one issue per rule and line, numbered from 1.
+def _with_rules(files: DataFrame, rules: DataFrame, how: str) -> DataFrame:
+    """Files with ``_rules`` of their tool, ``_ids`` that may run (null: as the rules say) and the text in lower case."""
+    ids = F.col("pattern_ids") if "pattern_ids" in files.columns else F.lit(None).cast("array<string>")
+    ruled = lookup_join(files.withColumn("_ids", ids), rules, ["tool"], spread=["filename"], how=how)
+    return ruled.withColumn("_low", F.lower("text"))
 
-    ``rules`` come from :func:`rules_of`. An optional column ``pattern_ids`` names the patterns that may run;
-    where it is null the rules' own ``enabled`` flags decide. ``fingerprints`` adds the fingerprint of each
-    issue while its line is at hand, which saves joining the texts later. A file meets its tool's rules one
-    after the other and each rule all lines, so a regex is compiled once per file.
-    """
-    if not isinstance(rules, DataFrame):
-        given = [(r.tool, r.pattern_id, r.id, r.regex, r.level, r.category, r.message, list(r.languages), r.enabled) for r in rules]
-        rules = rules_of(files.sparkSession.createDataFrame(given, _RULE_SCHEMA))
-    has_ids = "pattern_ids" in files.columns
+
+def _hits() -> Column:
+    """Array of ``_HIT`` with line number and line, of a row with ``_rules``, ``_ids``, ``_low`` and ``_lines``."""
 
     def may_run(rule: Column) -> Column:
-        allowed = F.coalesce(F.array_contains("pattern_ids", rule["id"]), rule["enabled"]) if has_ids else rule["enabled"]
-        return allowed & ((F.size(rule["languages"]) == 0) | F.array_contains(rule["languages"], F.col("language")))
+        allowed = F.coalesce(F.array_contains("_ids", rule["id"]), rule["enabled"])
+        possible = (F.size(rule["literals"]) == 0) | F.exists(rule["literals"], lambda text: F.contains("_low", text))
+        return allowed & ((F.size(rule["languages"]) == 0) | F.array_contains(rule["languages"], F.col("language"))) & possible
 
     def hits_of(rule: Column, lines: Column) -> Column:
         # Unlike rlike, regexp_instr keeps the compiled regex from line to line.
         hit = F.filter(lines, lambda line: F.regexp_instr(line["text"], rule["regex"]) > 0)
-        fields = [rule[name].alias(name) for name in ("pattern_id", "message", "level", "category")]
+        fields = [rule[name].alias(name) for name in _HIT]
         return F.transform(hit, lambda line: F.struct(*fields, line["line"].alias("line"), line["text"].alias("text")))
 
-    numbered = F.transform(tx.split_lines(F.col("text")), lambda line, i: F.struct((i + 1).alias("line"), line.alias("text")))
+    numbered = F.transform(F.col("_lines"), lambda line, i: F.struct((i + 1).alias("line"), line.alias("text")))
     active = F.filter("_rules", may_run)
-    # The lines are bound to a lambda's variable, so that no rule splits the text again.
+    # The lines are bound to a lambda's variable, so that no rule numbers them again.
     hits = F.transform(F.array(numbered), lambda lines: F.flatten(F.transform(active, lambda rule: hits_of(rule, lines))))
-    ruled = lookup_join(files, rules, ["tool"], spread=["filename"], how="inner")
-    found = ruled.select("project", "tool", "language", "filename", F.explode(F.flatten(hits)).alias("_hit"))
+    return F.flatten(hits)
+
+
+def scan_issues(files: DataFrame, rules: DataFrame | Sequence[Rule], fingerprints: bool = False) -> DataFrame:
+    """Every line against the rules of the run's tool; one issue per rule and line, numbered from 1.
+
+    ``rules`` come from :func:`rules_of`. An optional column ``pattern_ids`` names the patterns that may run;
+    where it is null the rules' own ``enabled`` flags decide. ``fingerprints`` adds the fingerprint of each
+    issue while its line is at hand, which saves joining the texts later. A file meets only the rules one of whose
+    literals it contains, and each of these all lines, so that a regex is compiled once per file.
+    """
+    if not isinstance(rules, DataFrame):
+        given = [(r.tool, r.pattern_id, r.id, r.regex, r.level, r.category, r.message, list(r.languages), r.enabled) for r in rules]
+        rules = rules_of(files.sparkSession.createDataFrame(given, _RULE_SCHEMA))
+    split = _with_rules(files, rules, "inner").withColumn("_lines", tx.split_lines(F.col("text")))
+    found = split.select("project", "tool", "language", "filename", F.explode(_hits()).alias("_hit"))
     hashed = tx.fingerprint(F.col("filename"), F.col("_hit.pattern_id"), F.col("_hit.text")).alias("fingerprint")
     return found.select(
         "project", "tool", "language", "_hit.pattern_id", "filename", "_hit.message", "_hit.level", "_hit.category",
@@ -102,17 +134,16 @@ class MetricRule:
     branch: str
 
 
-def compute_metrics(files: DataFrame, rules: Mapping[str, MetricRule]) -> DataFrame:
-    """Size metrics per file; everything but ``loc`` is null for languages without rule.
+METRIC_FIELDS = ["complexity", "loc", "cloc", "nr_methods", "nr_classes", "line_complexities"]
 
-    ``complexity`` is one plus the branches of the file; ``line_complexities`` holds, for each line that
-    opens a method, one plus the branches on it.
-    """
+
+def _measured(rules: Mapping[str, MetricRule]) -> list[Column]:
+    """The metrics of a row with ``text``, ``_lines`` and ``language``."""
     by_language = F.col("language")
     lines = F.col("_lines")
 
     def per_language(value: Callable[[MetricRule], Column]) -> Column:
-        return F.coalesce(*[F.when(by_language == name, value(rule)) for name, rule in sorted(rules.items())])
+        return F.coalesce(F.lit(None), *[F.when(by_language == name, value(rule)) for name, rule in sorted(rules.items())])
 
     def lines_matching(regex: str) -> Column:
         return F.size(F.filter(lines, lambda line: line.rlike(regex)))
@@ -126,16 +157,24 @@ def compute_metrics(files: DataFrame, rules: Mapping[str, MetricRule]) -> DataFr
         )
 
     nothing = F.array().cast("array<struct<line:int,value:int>>")
-    split = files.withColumn("_lines", tx.split_lines(F.col("text")))
-    return split.select(
-        *[c for c in files.columns if c != "text"],
-        per_language(lambda r: F.regexp_count("text", F.lit(r.branch)) + 1).alias("complexity"),
+    return [
+        per_language(lambda r: F.regexp_count("text", F.lit(r.branch)) + 1).cast("int").alias("complexity"),
         tx.count_loc(F.col("text")).alias("loc"),
-        per_language(lambda r: lines_matching(r.comment)).alias("cloc"),
-        per_language(lambda r: lines_matching(r.method)).alias("nr_methods"),
-        per_language(lambda r: lines_matching(r.type_)).alias("nr_classes"),
+        per_language(lambda r: lines_matching(r.comment)).cast("int").alias("cloc"),
+        per_language(lambda r: lines_matching(r.method)).cast("int").alias("nr_methods"),
+        per_language(lambda r: lines_matching(r.type_)).cast("int").alias("nr_classes"),
         F.coalesce(per_language(opened), nothing).alias("line_complexities"),
-    )
+    ]
+
+
+def compute_metrics(files: DataFrame, rules: Mapping[str, MetricRule]) -> DataFrame:
+    """Size metrics per file; everything but ``loc`` is null for languages without rule.
+
+    ``complexity`` is one plus the branches of the file; ``line_complexities`` holds, for each line that
+    opens a method, one plus the branches on it.
+    """
+    split = files.withColumn("_lines", tx.split_lines(F.col("text")))
+    return split.select(*[c for c in files.columns if c != "text"], *_measured(rules))
 
 
 # ---------------------------------------------------------------- duplication
@@ -145,21 +184,20 @@ _FILE = ["project", "language", "filename"]
 _HASH = ["project", "language", "h"]
 
 
-def _line_windows(files: DataFrame, size: int) -> DataFrame:
-    """Runs of ``size`` lines, as hashes: ``(file, i, h, next_a, next_b, first_tokens, tokens)``.
+WINDOW_FIELDS = ["i", "h", "first_tokens", "tokens", "next_a", "next_b"]
+_WINDOW = "struct<i:int,h:binary,first_tokens:int,tokens:int,next_a:bigint,next_b:bigint>"
 
-    Computed inside each file row, so no line is shuffled. ``next_a`` and ``next_b`` are a 128-bit
-    fingerprint of the hash one line further down. Windows of blank lines only are left out.
-    """
-    split = files.select(*_FILE, F.split(tx.normalize_lines(F.col("text")), "\n", -1).alias("_lines"))
+
+def _hash_windows(files: DataFrame, size: int, wanted: Column) -> DataFrame:
+    """Adds ``_plain``: runs of ``size`` lines, as hashes, of the ``wanted`` rows, computed inside each file row."""
+    text = F.when(wanted, tx.normalize_lines(F.col("text")))
+    split = files.withColumn("_norm", F.split(text, "\n", -1))
 
     def n_tokens(line: Column) -> Column:
         spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
         return spaces + (line != "").cast("int")
 
-    lined = split.select(
-        *_FILE, F.transform("_lines", F.md5).alias("_hashes"), F.transform("_lines", n_tokens).alias("_tokens")
-    )
+    lined = split.withColumn("_hashes", F.transform("_norm", F.md5)).withColumn("_tokens", F.transform("_norm", n_tokens))
     n_windows = F.size("_hashes") - size + 1
     starts = F.when(n_windows > 0, F.sequence(F.lit(1), n_windows))
 
@@ -171,18 +209,32 @@ def _line_windows(files: DataFrame, size: int) -> DataFrame:
             tokens.alias("tokens"),
         )
 
-    windows = lined.select(*_FILE, F.transform(starts, window).alias("_windows"))
+    return lined.withColumn("_plain", F.transform(starts, window))
+
+
+def _windows() -> Column:
+    """The windows of a row with ``_plain``, each with a 128-bit fingerprint of the hash one line further down.
+
+    Windows of blank lines only are left out. To be exploded as an expression: of a plain column Spark would derive
+    a filter and compute everything twice.
+    """
 
     def with_next(w: Column, i: Column) -> Column:
-        following = F.get(F.col("_windows"), i + 1)
+        following = F.get(F.col("_plain"), i + 1)
         there = following["tokens"] > 0
         return F.struct(
-            w["h"].alias("h"), w["first_tokens"].alias("first_tokens"), w["tokens"].alias("tokens"),
+            i.alias("i"), w["h"].alias("h"), w["first_tokens"].alias("first_tokens"), w["tokens"].alias("tokens"),
             *[F.when(there, c).alias(name) for c, name in zip(_fingerprint(following["h"]), ("next_a", "next_b"))],
         )
 
-    rows = windows.select(*_FILE, F.posexplode(F.transform("_windows", with_next)).alias("i", "_w"))
-    return rows.select(*_FILE, "i", "_w.*").filter("tokens > 0")
+    filled = F.filter(F.transform("_plain", with_next), lambda w: w["tokens"] > 0)
+    return filled.cast(f"array<{_WINDOW}>")
+
+
+def line_windows(files: DataFrame, size: int = CLONE_WINDOW) -> DataFrame:
+    """``(project, language, filename, i, h, first_tokens, tokens, next_a, next_b)``, see :func:`clones_of_windows`."""
+    rows = _hash_windows(files.select(*_FILE, "text"), size, F.lit(True)).select(*_FILE, F.explode(_windows()).alias("_w"))
+    return rows.select(*_FILE, "_w.*")
 
 
 def _fingerprint(h: Column) -> tuple[Column, Column]:
@@ -209,13 +261,18 @@ def _duplicated_windows(windows: DataFrame) -> DataFrame:
 
 
 def detect_clones(files: DataFrame, window: int = CLONE_WINDOW) -> DataFrame:
+    """Duplicated blocks of ``files``: :func:`line_windows`, staged so that texts are read once, and their clones."""
+    return clones_of_windows(stage(line_windows(files, window), "line-windows"), window)
+
+
+def clones_of_windows(windows: DataFrame, window: int = CLONE_WINDOW) -> DataFrame:
     """Occurrences of duplicated blocks of at least ``window`` lines within (project, language).
 
     Rows ``(project, language, clone_id, nr_lines, nr_tokens, filename, start_line, end_line)``, one per
     occurrence, also for blocks repeated within a file. Work is linear in lines: windows are counted by
-    hash, never paired. Stays in flat form because a clone can have any number of occurrences.
+    hash, never paired. Stays in flat form because a clone can have any number of occurrences. The windows are read
+    twice, so they are to be staged.
     """
-    windows = _line_windows(files, window)
     repeated = _duplicated_windows(windows)
     located = weighted_join(
         windows.select(*_FILE, "i", "h", "first_tokens", "tokens"), repeated, _HASH, weight="n", spread=["filename", "i"]
@@ -244,20 +301,59 @@ def detect_clones(files: DataFrame, window: int = CLONE_WINDOW) -> DataFrame:
 
 
 def clones(occurrences: DataFrame, files: DataFrame) -> DataFrame:
-    """One row per clone with its size, number of occurrences and the text of the first occurrence."""
+    """One row per clone with its size, number of occurrences and the text of the first occurrence.
+
+    Only files that hold the first occurrence of a clone are taken apart: their names are looked up first.
+    """
     keys = ["project", "language", "clone_id"]
     first = F.min(F.struct("filename", "start_line"))
     summary = occurrences.groupBy(*keys, "nr_lines", "nr_tokens").agg(
         first.alias("_first"), F.count("*").cast("int").alias("n_occurrences")
     )
     located = summary.select(*keys, "nr_lines", "nr_tokens", "n_occurrences", "_first.*")
-    texts = files.select("project", "language", "filename", "text")
-    block = F.slice(tx.split_lines(F.col("text")), F.col("start_line"), F.col("nr_lines"))
+    asked = located.select(*_FILE).distinct()
+    texts = files.select(*_FILE, "text").join(asked, _FILE, "left_semi").select(*_FILE, tx.split_lines(F.col("text")).alias("_lines"))
+    block = F.slice(F.col("_lines"), F.col("start_line"), F.col("nr_lines"))
     return located.join(texts, _FILE).select(
         *keys, F.array_join(block, "\n").alias("clone_lines"), "nr_tokens", "nr_lines", "n_occurrences"
     )
 
 
+# ---------------------------------------------------------------- one pass for everything
+
+KINDS = ["issues", "metrics", "duplication"]
+
+
+def scan_once(files: DataFrame, rules: DataFrame, metric_rules: Mapping[str, MetricRule], window: int = CLONE_WINDOW) -> DataFrame:
+    """All analyses in one pass over the texts, as narrow rows that ``kind`` tells apart.
+
+    ``files (project, kind, tool, language, filename, text, pattern_ids)``: one row per file and job. Jobs of kind issues
+    give rows like :func:`scan_issues` with fingerprints, metrics one row like :func:`compute_metrics`, duplication rows
+    like :func:`line_windows`; columns of other kinds are null. To be staged by ``kind``.
+    """
+    kind = F.col("kind")
+    lined = _with_rules(files, rules, "left").withColumn("_lines", F.when(kind != "duplication", tx.split_lines(F.col("text"))))
+    ready = _hash_windows(lined, window, kind == "duplication")
+    measured = "struct<complexity:int,loc:int,cloc:int,nr_methods:int,nr_classes:int,line_complexities:array<struct<line:int,value:int>>>"
+    types = {"hit": _HIT_TYPE, "measured": measured, "win": _WINDOW}
+
+    def of(name: str, value: Column) -> Column:
+        parts = [(value if n == name else F.lit(None)).cast(kind_).alias(n) for n, kind_ in types.items()]
+        return F.struct(*parts)
+
+    outputs = (
+        F.when(kind == "issues", F.transform(_hits(), lambda hit: of("hit", hit)))
+        .when(kind == "metrics", F.array(of("measured", F.struct(*_measured(metric_rules)))))
+        .when(kind == "duplication", F.transform(_windows(), lambda w: of("win", w)))
+    )
+    job = ["project", "kind", "tool", "language", "filename"]
+    rows = ready.select(*job, F.explode(outputs).alias("_o"))
+    hashed = F.when(kind == "issues", tx.fingerprint(F.col("filename"), F.col("_o.hit.pattern_id"), F.col("_o.hit.text")))
+    return rows.select(
+        *job, *[f"_o.hit.{c}" for c in (*_HIT, "line")], hashed.alias("fingerprint"), "_o.measured.*", "_o.win.*"
+    )
+
+
 # ---------------------------------------------------------------- user-supplied analysers
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lintlake.functions import text as tx
-from lintlake.functions.scale import lookup_join, weighted_join
+from lintlake.functions.scale import lookup_join, stage, weighted_join
 
 METRICS = ["complexity", "loc", "cloc", "nr_methods", "nr_classes"]
 MIN_CLONE_LINES = 5
@@ -70,34 +70,66 @@ def fill_missing_loc(run_files: DataFrame, metrics: DataFrame, files: DataFrame)
     return filled
 
 
-def recover_failed_metrics(runs: DataFrame, run_files: DataFrame) -> DataFrame:
-    """Metrics runs after the merge, plus a recovered success for each failure nobody else covered.
+_RUN = ["project", "language", "run_order"]
+_DIGEST = ["n", "digest_a", "digest_b"]
 
-    ``runs (project, language, run_order, success, error)`` and ``run_files`` with the same keys. A
-    failed run is covered when a successful run of the language has exactly the same files. Equality of
-    the two sets is decided by counts: |A| = |B| = |A join B|; no set is gathered in one place.
+
+def set_digests(run_files: DataFrame, run: Sequence[str] = _RUN) -> DataFrame:
+    """One row per run with an order-free digest of its files: their number and two sums of hashes of their names.
+
+    Sums of partial groups add up, so a run with very many files is digested by many tasks.
     """
-    run, lang = ["project", "language", "run_order"], ["project", "language"]
     files = run_files.select(*run, "filename").distinct()
-    ok, failed = runs.filter("success"), runs.filter("not success")
+    name = F.sha2(F.encode("filename", "UTF-8"), 256)
+    parts = [F.conv(F.substring(name, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    return files.groupBy(*run).agg(
+        F.count("*").alias("n"), F.sum(parts[0]).alias("digest_a"), F.sum(parts[1]).alias("digest_b")
+    )
 
-    def of(side: DataFrame) -> DataFrame:
-        return lookup_join(files, side.select(*run), run, spread=["filename"], how="left_semi")
 
-    sizes = files.groupBy(*run).agg(F.count("*").alias("n"))
-    ok_files = of(ok).withColumnRenamed("run_order", "ok_order")
-    shared = (
-        of(failed).join(ok_files, [*lang, "filename"]).groupBy(*run, "ok_order").agg(F.count("*").alias("n_shared"))
+def merge_metrics_runs(runs: DataFrame) -> DataFrame:
+    """Runs with the successful ones of a language as one, named by the first; failed runs stay as they are."""
+    ok = runs.filter("success").groupBy("project", "language").agg(F.min("run_order").alias("run_order"))
+    return ok.select(*_RUN, F.lit(True).alias("success"), F.lit(None).cast("string").alias("error")).unionByName(
+        runs.filter("not success").select(*_RUN, "success", "error")
     )
 
-    def sized(side: DataFrame) -> DataFrame:
-        return side.select(*run).join(sizes, run, "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
-    ok_sizes = sized(ok).withColumnRenamed("run_order", "ok_order").withColumnRenamed("n", "ok_n")
-    pairs = sized(failed).join(ok_sizes, lang).join(shared, [*run, "ok_order"], "left")
-    same = (F.col("n") == F.col("ok_n")) & (F.col("n") == F.coalesce("n_shared", F.lit(0)))
-    covered = pairs.filter(same).select(*run).distinct()
-    recovered = failed.join(covered, run, "left_anti").withColumn("success", F.lit(True))
+def merged_run_files(runs: DataFrame, run_files: DataFrame) -> DataFrame:
+    """Files of the runs of :func:`merge_metrics_runs`: a merged run has the files of all its runs."""
+    flagged = lookup_join(run_files.select(*_RUN, "filename"), runs.select(*_RUN, "success"), _RUN, ["filename"], "inner")
+    ok = runs.filter("success").groupBy("project", "language").agg(F.min("run_order").alias("_first"))
+    named = lookup_join(flagged, ok, ["project", "language"], ["filename"])
+    order = F.when(F.col("success"), F.col("_first")).otherwise(F.col("run_order"))
+    return named.select("project", "language", order.alias("run_order"), "filename").distinct()
+
+
+def recover_failed_metrics(runs: DataFrame, run_files: DataFrame) -> DataFrame:
+    """Metrics runs after the merge, plus a recovered success for each failure nobody else covered.
+
+    ``runs (project, language, run_order, success, error)`` and ``run_files`` with the same keys. A
+    failed run is covered when a successful run of the language has exactly the same files. Runs meet by the digests of
+    their files, and the names themselves are compared only where digests agree, with the first successful run that has
+    the digest: no run is paired with another, no set is gathered in one place, and a coincidence of digests can't cover
+    a run.
+    """
+    digested = runs.join(set_digests(run_files), _RUN, "left")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in _DIGEST]
+    digested = digested.select(*_RUN, "success", *zero)
+    alike = ["project", "language", *_DIGEST]
+    first = digested.filter("success").groupBy(*alike).agg(F.min("run_order").alias("ok_order"))
+    candidates = stage(digested.filter("not success").join(first, alike).select(*_RUN, "n", "ok_order"), "run-candidates")
+
+    def files_of(side: DataFrame) -> DataFrame:
+        return lookup_join(run_files.select(*_RUN, "filename"), side, _RUN, ["filename"], "inner").distinct()
+
+    failed_files = files_of(candidates.select(*_RUN, "ok_order"))
+    ok_files = files_of(candidates.select("project", "language", F.col("ok_order").alias("run_order")).distinct())
+    ok_files = ok_files.withColumnRenamed("run_order", "ok_order")
+    shared = failed_files.join(ok_files, ["project", "language", "ok_order", "filename"]).groupBy(*_RUN).agg(F.count("*").alias("n_shared"))
+    same = F.col("n") == F.coalesce("n_shared", F.lit(0))
+    covered = candidates.join(shared, _RUN, "left").filter(same).select(*_RUN)
+    recovered = runs.filter("not success").join(covered, _RUN, "left_anti").withColumn("success", F.lit(True))
     recovered = recovered.withColumn("error", F.lit(None).cast("string")).withColumn("recovered", F.lit(True))
     return runs.withColumn("recovered", F.lit(False)).unionByName(recovered.select(*runs.columns, "recovered"))
 

@@ -294,9 +294,12 @@ def sarif_indexes(categorized: DataFrame, rules: DataFrame) -> DataFrame:
 def fingerprint_issues(issues: DataFrame, files: DataFrame) -> DataFrame:
     """Adds ``fingerprint`` from the source line; lines outside the file count as empty.
 
-    For results that come without one (see ``scan_issues``). Lines, not texts, meet the issues, so a file
+    For results that come without one (see ``scan_issues``). Only files with issues are taken apart: their names are
+    looked up first, and no text moves while that list fits a broadcast. Lines, not texts, meet the issues, so a file
     with very many issues is spread over its lines. Blank lines are left out: they count as empty anyway.
     """
+    asked = issues.select("project", "filename").distinct()
+    files = files.select("project", "filename", "text").join(asked, ["project", "filename"], "left_semi")
     lines = files.select("project", "filename", F.posexplode(tx.split_lines(F.col("text"))).alias("_pos", "_content"))
     contents = lines.select("project", "filename", (F.col("_pos") + 1).alias("line"), "_content").filter("trim(_content) <> ''")
     joined = issues.join(contents, ["project", "filename", "line"], "left")

@@ -181,8 +181,8 @@ ctes(
 )
 
 
-def analysis(fx: Fixtures) -> Analysis:
-    return Analysis(
+def analysis(fx: Fixtures, **changed) -> Analysis:
+    given = dict(
         files=fx.files.select("project", "filename", "is_readable", "text"),
         listing=fx.listing,
         rules=fx.exclusion_rules,
@@ -194,6 +194,7 @@ def analysis(fx: Fixtures) -> Analysis:
         failures=fx.failures,
         metric_rules=METRIC_RULES,
     )
+    return Analysis(**{**given, **changed})
 
 
 def file_errors(fx: Fixtures, a: Analysis) -> DataFrame:
@@ -419,6 +420,69 @@ def merged_metrics(fx: Fixtures) -> DataFrame:
     return analysis(fx).metrics.select(*_METRICS, complexities())
 
 
+# Metrics tools that fail in more projects, one of which reports two metrics only.
+_REPORTED = {"metrics-2": ["complexity", "cloc"]}
+
+ctes(
+    partial_runs="""
+        select r.project, r.tool, r.language, r.run_order, f.error is null as success, f.error from runs r
+        left join (select project, tool, min(error) as error from metric_failures group by 1, 2) f
+        on f.project = r.project and f.tool = r.tool where r.kind = 'metrics'""",
+    partial_sets="""
+        select r.project, r.language, r.success, case when r.success then 0 else r.run_order end as part,
+               coalesce(string_agg(distinct f.filename, '|' order by f.filename), '') as names, count(distinct f.filename) as n_files
+        from partial_runs r left join run_files f on f.kind = 'metrics' and f.project = r.project and f.run_order = r.run_order
+        group by all""",
+)
+
+
+def partial_analysis(fx: Fixtures) -> Analysis:
+    return analysis(fx, failures=fx.metric_failures, reported_metrics=_REPORTED)
+
+
+@query(
+    "metrics_run_results",
+    """
+    select p.project, p.language, p.run_order, p.success, p.error, false as recovered, s.n_files
+    from (select project, language, min(run_order) as run_order, true as success, null as error, 0 as part
+          from partial_runs where success group by 1, 2
+          union all select project, language, run_order, false, error, run_order from partial_runs where not success) p
+    join partial_sets s on s.project = p.project and s.language = p.language and s.part = p.part
+    union all
+    select r.project, r.language, r.run_order, true, null, true, a.n_files from partial_runs r
+    join partial_sets a on a.project = r.project and a.language = r.language and a.part = r.run_order
+    where not r.success and not exists (
+        select 1 from partial_sets b where b.success and b.project = a.project and b.language = a.language and b.names = a.names)""",
+)
+def metrics_run_results(fx: Fixtures) -> DataFrame:
+    """Every metrics run whose results count: merged, failed or recovered, with its number of files."""
+    a = partial_analysis(fx)
+    files = merge.merged_run_files(a.runs.filter("kind = 'metrics'"), a.metrics_run_files)
+    sizes = files.groupBy("project", "language", "run_order").agg(F.count("*").alias("n_files"))
+    joined = a.metrics_runs.join(sizes, ["project", "language", "run_order"], "left")
+    return joined.withColumn("n_files", F.coalesce("n_files", F.lit(0)))
+
+
+@query(
+    "partial_metrics_merged",
+    f"""
+    with able as (
+        select project, language, bool_or(success and tool = 'metrics-1') as full_report,
+               bool_or(success and tool = 'metrics-2') as short_report
+        from partial_runs group by 1, 2)
+    select f.project, f.language, f.filename, case when a.full_report or a.short_report then m.complexity end as complexity,
+           cast({sql_loc('k.text')} as int) as loc, case when a.full_report or a.short_report then m.cloc end as cloc,
+           case when a.full_report then m.nr_methods end as nr_methods, case when a.full_report then m.nr_classes end as nr_classes,
+           case when a.full_report then m.line_complexities else '' end as line_complexities
+    from metrics_files f join able a on a.project = f.project and a.language = f.language
+    join all_metrics m on m.project = f.project and m.language = f.language and m.filename = f.filename
+    join kept k on k.project = f.project and k.filename = f.filename""",
+)
+def partial_metrics_merged(fx: Fixtures) -> DataFrame:
+    """Runs that report different metrics merged per file, in the whole pipeline."""
+    return partial_analysis(fx).metrics.select(*_METRICS, complexities())
+
+
 @query(
     "clones_min_lines",
     "select project, clone_id, filename, nr_lines from reported_clones where nr_lines >= 5",
@@ -570,8 +634,12 @@ def collect_errors(fx: Fixtures) -> DataFrame:
     "analyse_projects",
     """
     select g.project, g.n_issues, g.any_failure, g.code, coalesce(m.n, 0) as n_metrics, coalesce(m.loc, 0) as loc,
-           coalesce(m.complexity, 0) as complexity, coalesce(c.n, 0) as n_clone_occurrences, coalesce(c.clones, 0) as n_clones
+           coalesce(m.complexity, 0) as complexity, coalesce(c.n, 0) as n_clone_occurrences, coalesce(c.clones, 0) as n_clones,
+           coalesce(r.n, 0) as n_metrics_runs, coalesce(r.recovered, 0) as n_recovered_runs
     from gate g
+    left join (select project, count(*) as n, count(*) filter (not success and not any_success) as recovered
+               from (select *, bool_or(success) over (partition by project, language) as any_success from runs where kind = 'metrics')
+               group by 1) r on r.project = g.project
     left join (select project, count(*) as n, cast(sum(loc) as bigint) as loc, cast(sum(complexity) as bigint) as complexity
                from metrics_full group by 1) m on m.project = g.project
     left join (select project, count(*) as n, count(distinct language || clone_id) as clones from (

@@ -95,6 +95,9 @@ VIEWS: dict[str, str] = {
         select project, 'metrics-2' as tool, 'metrics-2 crashed' as error from {{projects}} where {_DIGIT} = 3
         union all select project, 'lint-b', 'lint-b crashed' from {{projects}} where {_DIGIT} = 7
         union all select project, 'clones-1', 'clones-1 crashed' from {{projects}} where {_DIGIT} = 8""",
+    "metric_failures": f"""
+        select * from {{failures}}
+        union all select project, 'metrics-1', 'metrics-1 crashed' from {{projects}} where {_DIGIT} in (3, 6)""",
     "limits": f"select project, 50 as max_allowed, {_DIGIT} % 2 = 1 as fail_if_incomplete from {{projects}}",
     "partial_metrics": """
         select project, 'Any' as language, 'A' as tool, 1 as run_order, filename, cast(length(text) % 50 as int) as complexity,

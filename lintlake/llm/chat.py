@@ -10,7 +10,8 @@ Defined results: of calls that share an id in a conversation the first by positi
 stay; of results that share an id the first by (position, content) counts, the others are rows of kind ``duplicate result``
 if ``link`` is asked for them, as the query does; a call without a result is unanswered, a result without a call is an
 ``orphan`` row; a parent that does not exist is no parent; calls on a cycle, or that depend on one, have a null depth and
-the error ``cycle``; an unknown tool, arguments that are no JSON and violated schemas are errors; null ids link with
+the error ``cycle``; an unknown tool, arguments that are no JSON (NaN, numbers beyond a double and too deep nesting included), violated schemas
+and schemas that are no object or can't be applied are errors; halves of surrogate pairs are escaped; null ids link with
 nothing; extra columns are ignored. Of a table of turns every row is in the result: as a call, as the result in its call's
 line, as an orphan or duplicate, or as a ``message`` if its role is neither user nor assistant.
 """
@@ -18,6 +19,8 @@ line, as an orphan or duplicate, or as a ``message`` if its role is neither user
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,8 +32,43 @@ from lintlake.functions.scale import stage
 MAX_DOUBLINGS = 40
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Canonical JSON; halves of surrogate pairs, which no UTF-8 text can hold, are escaped."""
+    line = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _LONE.sub(lambda half: f"\\u{ord(half[0]):04x}", line)
+
+
+def _refuse(name: str):
+    raise ValueError(f"{name} is no JSON")
+
+
+def _number(text: str) -> float:
+    value = float(text)
+    return value if math.isfinite(value) else _refuse(text)
+
+
+def parsed(text: str):
+    """The value of a JSON text; ValueError for what is no JSON, numbers beyond a double and too deep nesting."""
+    try:
+        value = json.loads(text, parse_constant=_refuse, parse_float=_number)
+        canonical(value)
+        return value
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+
+
+def same(a, b) -> bool:
+    """Equality of JSON values: true is not 1, but 1 is 1.0."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(same(a[k], b[k]) for k in a)
+    return a == b
 
 
 _TYPES = {
@@ -50,7 +88,7 @@ def violation(value, schema: dict, at: str = "$") -> str | None:
         kinds = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
         if not any(_TYPES[k](value) for k in kinds):
             return f"{at} is not of type {'/'.join(kinds)}"
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(same(value, x) for x in schema["enum"]):
         return f"{at} is not one of the allowed values"
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value) or value > schema.get("maximum", value):
@@ -99,23 +137,37 @@ def depths(calls: DataFrame) -> DataFrame:
 _LINKED = "call_id string, kind string, depth long, position long, answered boolean, error string, line string"
 
 
+def _checked(arguments, text: str, schemas: dict[str, dict | None]) -> str | None:
+    """The violation of a schema, or that the schema itself is of no use."""
+    if text not in schemas:
+        try:
+            schema = parsed(text)
+        except ValueError:
+            schema = None
+        schemas[text] = schema if isinstance(schema, dict) else None
+    if schemas[text] is None:
+        return "schema is not a JSON object"
+    try:
+        return violation(arguments, schemas[text])
+    except (KeyError, TypeError, AttributeError, RecursionError):
+        return "schema is not usable"
+
+
 def _serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schemas: dict[str, dict] = {}
+    schemas: dict[str, dict | None] = {}
     for batch in batches:
         errors, lines = [], []
         for row in batch.to_pylist():
             error, arguments = row["error"], None
             if row["call_id"] is not None and row["arguments"] is not None:
                 try:
-                    arguments = json.loads(row["arguments"])
+                    arguments = parsed(row["arguments"])
                 except ValueError:
                     error = error or "arguments are not JSON"
                 if row["schema"] is None:
                     error = error or "unknown tool"
                 elif error is None:
-                    if row["schema"] not in schemas:
-                        schemas[row["schema"]] = json.loads(row["schema"])
-                    error = violation(arguments, schemas[row["schema"]])
+                    error = _checked(arguments, row["schema"], schemas)
             message = {"call": row["call_id"], "tool": row["tool"], "arguments": arguments, "parent": row["parent_id"]}
             if row["answered"] or row["kind"] in ("orphan", "duplicate result"):
                 message["result"] = row["content"]

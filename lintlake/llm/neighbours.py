@@ -53,19 +53,26 @@ def _matrix(column: pa.Array, kind=np.float64) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), dtype="<f8").astype(kind) for x in column]
 
 
-def vertices(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vec_id, rep) of valid rows, and (rep, copies, unit): the different vectors, scaled to length 1, as bytes."""
-    vector = F.transform("embedding", lambda x: x.cast("double"))
+def _checked(embeddings: DataFrame) -> DataFrame:
+    """(vec_id, vector, valid): vectors of finite numbers that are not all zero, in rows with an id, are valid."""
+    rows = embeddings.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
     finite = F.forall("vector", lambda x: F.coalesce((F.abs(x) < F.lit(float("inf"))) & ~F.isnan(x), F.lit(False)))
     some = F.exists("vector", lambda x: F.coalesce(x != 0, F.lit(False)))
-    rows = embeddings.select("vec_id", vector.alias("vector")).filter(
-        F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & some
-    )
+    valid = F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & some
+    return rows.withColumn("valid", F.coalesce(valid, F.lit(False)))
+
+
+def vertices(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(vec_id, rep, least) of valid rows, and (rep, copies, unit): the different vectors, scaled to length 1, as bytes.
+
+    ``rep`` is the number of a row of the vector, so that rows may share ids; ``least`` is the vector's smallest id.
+    """
+    rows = _checked(embeddings).filter("valid").drop("valid")
     # -0.0 and 0.0 are one value.
     rows = rows.withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
-    # Staged, so that the optimizer does not carry the checks above through the grouping and the join by the vector.
-    rows = stage_compressed(rows, "vectors")
-    groups = rows.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    # Staged, so that row numbers stay and the optimizer does not carry the checks through the grouping and the join.
+    rows = stage_compressed(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    groups = rows.groupBy("vector").agg(F.min("row").alias("rep"), F.min("vec_id").alias("least"), F.count("*").alias("copies"))
 
     def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,8 +85,8 @@ def vertices(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
                 [batch.column("rep"), batch.column("copies"), pa.array(units, pa.binary())], ["rep", "copies", "unit"]
             )
 
-    units = stage_compressed(groups.mapInArrow(scale, "rep long, copies long, unit binary"), "units")
-    classes = rows.join(groups.select("vector", "rep"), "vector").select("vec_id", "rep")
+    units = stage_compressed(groups.drop("least").mapInArrow(scale, "rep long, copies long, unit binary"), "units")
+    classes = rows.join(groups.select("vector", "rep", "least"), "vector").select("vec_id", "rep", "least")
     return stage(classes, "vector-classes"), units
 
 
@@ -387,12 +394,14 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per input row; kept marks each component's smallest id."""
     classes, units = vertices(embeddings)
     found, recall, linked = descend(units)
-    counts = link_counts(found, units).join(found.select(F.col("id").alias("rep"), "component"), "rep")
+    least = found.join(classes.select(F.col("rep").alias("id"), "least").distinct(), "id").groupBy("component").agg(F.min("least").alias("component_id"))
+    named = found.join(least, "component").select(F.col("id").alias("rep"), "component_id")
+    counts = link_counts(found, units).join(named, "rep")
     known = units.select("rep", "copies").join(counts, "rep", "left").select(
-        "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
+        "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )
-    valid = classes.join(known, "rep").select("vec_id", "n_links", "component_id")
-    others = embeddings.select("vec_id").join(classes.select("vec_id").distinct(), "vec_id", "left_anti").select(
+    valid = classes.join(known, "rep").select("vec_id", "n_links", F.coalesce("component_id", "least").alias("component_id"))
+    others = _checked(embeddings).filter("not valid").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     rows = valid.union(others).withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -50,6 +50,11 @@ def glob_to_regex(glob: Column) -> Column:
     return F.array_join(parts, "")
 
 
+def whole(regex: Column) -> Column:
+    """A regex that has to match a whole value, as :func:`any_of` writes it for one regex."""
+    return F.concat(F.lit("^(?:(?:"), regex, F.lit(r"))\z"))
+
+
 def any_of(regexes: Column) -> Column:
     """One anchored alternation for an array of regexes; null for an empty array."""
     wrapped = F.transform(regexes, lambda r: F.concat(F.lit("(?:"), r, F.lit(")")))

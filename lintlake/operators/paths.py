@@ -2,8 +2,9 @@
 
 ``files`` has at least ``project, filename``; other columns (``text``) pass through untouched. Rules
 are a table ``(project, scope, tool, kind, value)`` with ``scope`` global or tool and ``kind`` glob,
-path or regex. They are folded to one row per project, so a file row meets its project's rules in
-one lookup and is neither multiplied nor shuffled while that lookup fits a broadcast.
+path or regex. They become an index by what a file must have in common with a rule, a directory, an extension or the
+project alone, and files meet it in anti joins: a file row is never multiplied, no row holds all rules of a project, and
+texts are not shuffled while the index fits a broadcast.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lintlake.functions import globs, languages as lang, paths
-from lintlake.functions.scale import lookup_join
+from lintlake.functions import globs, languages as lang, paths, regexes
+from lintlake.functions.scale import lookup_join, salt_count, stage
 
 OTHERS_READ = 0o004
 VCS_DIRECTORY = ".git"
@@ -53,68 +54,100 @@ def _values(kind: str, value: Column | None = None) -> Column:
     return F.collect_set(F.when(F.col("kind") == kind, value))
 
 
-def rule_profile(rules: DataFrame) -> DataFrame:
-    """Global rules, one row per project.
+#: Regexes that are tried together, as one alternation.
+CHUNK = 64
+_EXTENSION, _ANY = 0, -1
+_INDEX = ["project", "kind", "depth", "key", "regex"]
+# Back references, quotations, named groups and comments mean something else, or nothing, beside other regexes.
+_ALONE = r"\\[1-9kQE]|\(\?<[A-Za-z]|\(\?[a-z-]*x"
 
-    Every function that takes ``rules`` also takes this profile, so that it can be staged and reused; the
-    same holds for :func:`tool_rule_profile` and :func:`extension_profile`.
 
-    Regexes with a back reference keep a pattern of their own, since joining patterns into one
-    alternation would renumber their groups.
-    """
-    if "_globs" in rules.columns:
-        return rules
-    numbered = F.col("value").rlike(r"\\[1-9k]")
-    return (
-        rules.filter("scope = 'global'")
-        .groupBy("project")
-        .agg(
-            globs.any_of(_values("glob", globs.glob_to_regex(F.col("value")))).alias("_globs"),
-            _values("path").alias("_paths"),
-            globs.any_of(_values("regex", F.when(~numbered, F.col("value")))).alias("_regex"),
-            _values("regex", F.when(numbered, F.concat(F.lit("^(?:"), "value", F.lit(r")\z")))).alias("_numbered"),
-        )
-    )
+def _rule_regexes(rules: DataFrame) -> DataFrame:
+    """Global and tool rules with their ``regex``, null for paths, and whether it is ``usable``."""
+    regex = F.when(F.col("kind") == "glob", globs.glob_to_regex(F.col("value"))).when(F.col("kind") == "regex", F.col("value"))
+    usable = regexes.is_usable(globs.whole(F.col("regex")))
+    return rules.withColumn("regex", regex).withColumn("usable", (F.col("kind") == "path") | usable)
 
 
-def _by_glob() -> Column:
-    return globs.matches(F.col("filename"), F.col("_globs"))
+def broken_rules(rules: DataFrame) -> DataFrame:
+    """(project, scope, tool, kind, value, error) of the rules that can't be used; all others hold without them."""
+    error = F.concat(F.lit("Broken "), "kind", F.lit(" "), F.coalesce("value", F.lit("")))
+    broken = _rule_regexes(rules).filter(~F.col("usable"))
+    return broken.select("project", "scope", "tool", "kind", "value", error.alias("error"))
 
 
-def _by_path() -> Column:
-    return F.coalesce(F.arrays_overlap(paths.ancestors(F.col("filename")), F.col("_paths")), F.lit(False))
+def rule_index(rules: DataFrame) -> DataFrame:
+    """Global rules by what a file must share with them: ``(project, kind, depth, key, regex)``.
 
+    ``depth`` components of a file's path are ``key``: an ignored path, without regex, or the directory in front of a
+    glob's first special character. At depth 0 the key is the extension a glob ends with, at -1 there is none. Up to
+    about ``CHUNK`` regexes of a key are tried together; those that can't stand beside others are rows of their own, and
+    broken ones are left out, see :func:`broken_rules`.
+
+    Every function that takes ``rules`` also takes this index, so that it can be staged and reused; the
+    same holds for :func:`tool_rule_profile` and :func:`extension_profile`.
+    """
+    if "depth" in rules.columns:
+        return rules
+    usable = _rule_regexes(rules.filter("scope = 'global'")).filter("usable").select("project", "kind", "value", "regex").distinct()
+    value, is_glob = F.col("value"), F.col("kind") == "glob"
+    directory = F.when(is_glob, F.regexp_extract("value", r"^([^*?\[\]{}\\]+)/", 1)).otherwise("")
+    extension = F.when(is_glob, F.regexp_extract("value", r"\.([A-Za-z0-9_]+)$", 1)).otherwise("")
+    key = F.when(F.col("kind") == "path", value).when(directory != "", directory).otherwise(extension)
+    is_dir = (F.col("kind") == "path") | (directory != "")
+    components = F.length("key") - F.length(F.replace("key", F.lit("/"), F.lit(""))) + 1
+    keyed = usable.withColumn("key", key).withColumn(
+        "depth", F.when(is_dir, components).when(F.col("key") != "", _EXTENSION).otherwise(_ANY).cast("int")
+    )
+    places = ["project", "kind", "depth", "key"]
+    alone = keyed.withColumn("_alone", value.rlike(_ALONE) & ~is_glob)
+    sizes = alone.filter("not _alone").groupBy(*places).agg(F.ceil(F.count("*") / CHUNK).alias("_chunks"))
+    chunk = F.when(~F.col("_alone"), F.pmod(F.xxhash64("regex"), F.col("_chunks")))
+    chunked = alone.join(sizes, places, "left").withColumn("_own", F.when(F.col("_alone"), F.col("regex"))).withColumn("_chunk", chunk)
+    return chunked.groupBy(*places, "_chunk", "_own").agg(globs.any_of(F.collect_set("regex")).alias("regex")).select(*_INDEX)
 
-def _by_regex() -> Column:
-    numbered = F.exists("_numbered", lambda r: globs.matches(F.col("filename"), r))
-    return globs.matches(F.col("filename"), F.col("_regex")) | F.coalesce(numbered, F.lit(False))
 
+def _without(files: DataFrame, rules: DataFrame, *kinds: str) -> DataFrame:
+    """Files that no rule of these kinds hits: one anti join per depth at which there are rules.
 
-def _exclude(files: DataFrame, rules: DataFrame, *tests: Column) -> DataFrame:
-    hit = tests[0]
-    for test in tests[1:]:
-        hit = hit | test
-    profiled = lookup_join(files, rule_profile(rules), ["project"], spread=["filename"])
-    return profiled.filter(~hit).select(*files.columns)
+    Depths come to the driver; there are no more of them than components in the longest rule.
+    """
+    index = rules if "depth" in rules.columns else stage(rule_index(rules.filter(F.col("kind").isin(*kinds))), "rule-index")
+    index = index.filter(F.col("kind").isin(*kinds))
+    depths = sorted(r["depth"] for r in index.select("depth").distinct().collect())
+    salts = salt_count(files.sparkSession)
+    filename = files["filename"]
+    for depth in depths:
+        here = index.filter(F.col("depth") == depth).select(
+            F.col("project").alias("_project"), F.col("key").alias("_key"), F.col("regex").alias("_regex"),
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+        )
+        hit = (files["project"] == F.col("_project")) & (F.pmod(F.xxhash64(filename), F.lit(salts)) == F.col("_salt"))
+        if depth != _ANY:
+            part = F.substring_index(filename, ".", -1) if depth == _EXTENSION else F.substring_index(filename, "/", depth)
+            hit = hit & (part == F.col("_key"))
+        files = files.join(here, hit & (F.col("_regex").isNull() | globs.matches(filename, F.col("_regex"))), "left_anti")
+        filename = files["filename"]
+    return files
 
 
 def exclude_globs(files: DataFrame, rules: DataFrame) -> DataFrame:
-    return _exclude(files, rules, _by_glob())
+    return _without(files, rules, "glob")
 
 
 def exclude_paths(files: DataFrame, rules: DataFrame) -> DataFrame:
     """Drop files equal to or below an ignored path, compared by whole components."""
-    return _exclude(files, rules, _by_path())
+    return _without(files, rules, "path")
 
 
 def exclude_regex(files: DataFrame, rules: DataFrame) -> DataFrame:
     """Drop files whose whole path matches a default-ignore regex."""
-    return _exclude(files, rules, _by_regex())
+    return _without(files, rules, "regex")
 
 
 def filter_global(files: DataFrame, rules: DataFrame) -> DataFrame:
-    """All three kinds of global rules in one lookup."""
-    return _exclude(files, rules, _by_glob(), _by_path(), _by_regex())
+    """All three kinds of global rules."""
+    return _without(files, rules, "glob", "path", "regex")
 
 
 def except_files(files: DataFrame, excluded: DataFrame) -> DataFrame:
@@ -180,11 +213,8 @@ def tool_rule_profile(rules: DataFrame) -> DataFrame:
     """Per-tool globs, one row per (project, rule_tool)."""
     if "_tool_globs" in rules.columns:
         return rules
-    return (
-        rules.filter("scope = 'tool' and kind = 'glob'")
-        .groupBy("project", F.col("tool").alias("rule_tool"))
-        .agg(globs.any_of(F.collect_set(globs.glob_to_regex(F.col("value")))).alias("_tool_globs"))
-    )
+    usable = _rule_regexes(rules.filter("scope = 'tool' and kind = 'glob'")).filter("usable")
+    return usable.groupBy("project", F.col("tool").alias("rule_tool")).agg(globs.any_of(F.collect_set("regex")).alias("_tool_globs"))
 
 
 def filter_tool(

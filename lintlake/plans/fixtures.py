@@ -62,6 +62,13 @@ VIEWS: dict[str, str] = {
         union all select project, 'global', null, 'regex', 'src/doc_[0-9]*5[.].*' from {{projects}}
         union all select project, 'tool', 'lint-b', 'glob', 'src/*.rb' from {{projects}}
         union all select project, 'tool', 'metrics', 'glob', 'src/doc_2*' from {{projects}}""",
+    "flawed_rules": f"""
+        select * from {{exclusion_rules}}
+        union all select project, 'global', cast(null as string), 'regex', '(?<n>src)/doc_[0-9]*7[.].*' from {{projects}}
+        union all select project, 'global', null, 'regex', '(?<n>src)/doc_[0-9]*9[.].*' from {{projects}}
+        union all select project, 'global', null, 'regex', 'src/(doc' from {{projects}} where {_DIGIT} % 3 = 0
+        union all select project, 'global', null, 'glob', 'src/[z-a]*' from {{projects}} where {_DIGIT} % 4 = 0
+        union all select source, 'global', null, 'path', concat('src/doc_', cast(doc_id as string), '.py') from {{documents}}""",
     "tools_csv": """
         select * from (values
             ('uuid-lint-a', 'issues', 'lint-a', 'v1.2.0', 'A_', 'Javascript,Python', '', false),

@@ -88,6 +88,27 @@ def exclude_regex(fx: Fixtures) -> DataFrame:
     return paths.exclude_regex(_readable(fx), fx.exclusion_rules)
 
 
+@query(
+    "exclude_flawed",
+    f"""
+    select project, filename from readable where not {_GLOBS} and not {_PATHS} and not {_REGEX}
+        and not regexp_full_match(filename, 'src/doc_[0-9]*[79][.].*') and not regexp_full_match(filename, 'src/doc_[0-9]+[.]py')""",
+)
+def exclude_flawed(fx: Fixtures) -> DataFrame:
+    """Broken rules, rules with equal group names and a path rule per file: the usable ones hold."""
+    return paths.filter_global(_readable(fx), fx.flawed_rules)
+
+
+@query(
+    "broken_rules",
+    """
+    select project, scope, tool, kind, value, 'Broken ' || kind || ' ' || value as error from flawed_rules
+    where value in ('src/(doc', 'src/[z-a]*')""",
+)
+def broken_rules(fx: Fixtures) -> DataFrame:
+    return paths.broken_rules(fx.flawed_rules)
+
+
 @query("filter_global", "select project, filename from kept")
 def filter_global(fx: Fixtures) -> DataFrame:
     return _names(kept(fx))

@@ -41,7 +41,7 @@ class Analysis:
 
     @cached_property
     def global_rules(self) -> DataFrame:
-        return stage(paths.rule_profile(paths.effective_rules(self.rules, self.local_config)), "global-rules")
+        return stage(paths.rule_index(paths.effective_rules(self.rules, self.local_config)), "global-rules")
 
     @cached_property
     def tool_rules(self) -> DataFrame:

@@ -136,3 +136,36 @@ def test_path_expressions(table):
         px.ancestors(F.col("f")), px.basename(F.col("f")), px.first_component(F.col("f")), px.ends_with_path(F.col("f"), F.lit("b/c.js"))
     )
     assert row.first()[:] == (["a", "a/b", "a/b/c.js"], "c.js", "a", True)
+
+
+RULES = "project string, scope string, tool string, kind string, value string"
+
+
+def test_rules_fail_on_their_own(spark, table):
+    names = ["src/a1.js", "src/a2.js", "lib/b.js", "x/y/z.py", "x/y", "top.py", "aa/aa", "ab/aa"]
+    files = table([(p, n) for p in ("p", "q") for n in names], "project string, filename string")
+    rules = [("p", "regex", "(?<n>src)/a1.*"), ("p", "regex", "(?<n>lib)/.*"), ("p", "regex", "("), ("p", "regex", r"(aa)/\1"),
+             ("p", "glob", "[z-a]"), ("p", "path", "x/y"), ("q", "glob", "**/*.py"), ("q", "glob", "src/*2.js"), ("q", "regex", "(?x) top # .py")]
+    frame = table([(p, "global", None, k, v) for p, k, v in rules], RULES)
+    left = {tuple(r) for r in paths.filter_global(files, frame).collect()}
+    assert {n for p, n in left if p == "p"} == {"src/a2.js", "top.py", "ab/aa"}
+    assert {n for p, n in left if p == "q"} == {*names} - {"x/y/z.py", "src/a2.js"}
+    assert {r.value for r in paths.broken_rules(frame).collect()} == {"(", "[z-a]", "(?x) top # .py"}
+
+
+def test_a_project_with_very_many_paths(spark):
+    paths_of = spark.range(100_000).selectExpr("'p' as project", "'global' as scope", "cast(null as string) as tool", "'path' as kind", "concat('d/', id, '/x') as value")
+    files = spark.range(1000).selectExpr("'p' as project", "concat('d/', id * 200, '/x/f', id, '.js') as filename")
+    assert paths.exclude_paths(files, paths_of).count() == 500
+    kept = paths.exclude_paths(files, paths_of)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "CartesianProduct" not in plan
+
+
+def test_globs_in_chunks(spark, table):
+    files = table([("p", f"src/f{i}.js") for i in range(400)], "project string, filename string")
+    rules = table([("p", "global", None, "glob", f"src/*f{i}.js") for i in range(0, 400, 2)], RULES)
+    index = paths.rule_index(rules).collect()
+    assert 1 < len(index) < 10 and {(r.depth, r.key) for r in index} == {(1, "src")}
+    expected = {f"src/f{i}.js" for i in range(400)} - {f"src/f{i}.js" for i in range(0, 400, 2)}
+    assert {r.filename for r in paths.exclude_globs(files, rules).collect()} == expected

@@ -131,12 +131,13 @@ def normalize_patterns(fx: Fixtures) -> DataFrame:
 
 @query("save_catalog", f"select {', '.join(_PATTERN_COLUMNS)}, languages from norm_patterns")
 def save_catalog(fx: Fixtures) -> DataFrame:
-    """Save twice (the second save replaces the first) and read back."""
+    """Save twice, the second time what was read back and the rest, and read that."""
     patterns = _patterns(fx)
     path = scratch_path(fx.spark, "catalog")
     catalog_store.save_catalog(patterns.filter("enabled"), path)
-    catalog_store.save_catalog(patterns, path)
-    return fx.spark.read.schema(patterns.schema).json(path).select(*_PATTERN_COLUMNS, csv("languages"))
+    stored = catalog_store.read_catalog(fx.spark, path, patterns.schema)
+    catalog_store.save_catalog(stored.unionByName(patterns.filter("not enabled")), path)
+    return catalog_store.read_catalog(fx.spark, path, patterns.schema).select(*_PATTERN_COLUMNS, csv("languages"))
 
 
 @query("read_catalog", "select uuid, short_name, version, prefix, languages from norm_tools")

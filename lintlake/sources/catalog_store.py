@@ -1,19 +1,61 @@
-"""Stored catalogs."""
+"""Stored catalogs.
+
+A catalog is saved as a version of its own, in a folder that nothing else is written to. Only when all of it is there, a
+pointer that names the version and its number of rows is added; readers follow the newest pointer. A save that fails leaves
+the old version in force, and a catalog may be derived from the one that it replaces. Files that were not saved here are
+read as they are.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+_POINTER = "at long, version string, n_rows long"
+
+
+def _point(spark: SparkSession, path: str, version: str | None, n_rows: int | None) -> None:
+    pointer = spark.createDataFrame([(time.time_ns(), version, n_rows)], _POINTER).coalesce(1)
+    pointer.write.mode("append").json(f"{path}/pointers")
+
+
+def _pointed(spark: SparkSession, path: str) -> tuple[bool, str | None, int | None]:
+    """Whether there are pointers, and version and number of rows of the newest."""
+    try:
+        newest = spark.read.schema(_POINTER).json(f"{path}/pointers").orderBy(F.desc("at"), F.desc("version")).first()
+    except AnalysisException:
+        return False, None, None
+    return (True, newest["version"], newest["n_rows"]) if newest else (False, None, None)
 
 
 def save_catalog(catalog: DataFrame, path: str) -> None:
-    """Replace the stored catalog."""
-    catalog.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """Replace the stored catalog once the new one is whole."""
+    spark, version = catalog.sparkSession, uuid.uuid4().hex
+    folder = f"{path}/versions/{version}"
+    catalog.write.option("ignoreNullFields", "false").json(folder)
+    _point(spark, path, version, spark.read.text(folder).count())
 
 
 def invalidate_catalog(spark: SparkSession, path: str) -> None:
-    """Forget the stored catalog: what is left is empty and reads as absent."""
-    spark.createDataFrame([], "_ string").write.mode("overwrite").text(path)
+    """Forget the stored catalog: it reads as absent."""
+    _point(spark, path, None, None)
+
+
+def drop_old_versions(spark: SparkSession, path: str, older_than_seconds: float) -> int:
+    """Delete versions, also unfinished ones, that are older than that and not in force; how many there were."""
+    _, current, _ = _pointed(spark, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return 0
+    before = (time.time() - older_than_seconds) * 1000
+    old = [s for s in files.listStatus(folder) if s.getPath().getName() != current and s.getModificationTime() < before]
+    for status in old:
+        files.delete(status.getPath(), True)
+    return len(old)
 
 
 def read_catalog(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame | None:
@@ -21,12 +63,16 @@ def read_catalog(spark: SparkSession, path: str, schema: T.StructType, multi_lin
 
     ``multi_line`` reads a JSON array per file instead of one object per line. A strict schema check has
     to look at every record once, so the catalog is decoded here and again where it is used; catalogs
-    are small.
+    are small. A saved version that has lost rows does not decode.
     """
+    saved, version, n_rows = _pointed(spark, path)
+    if saved and version is None:
+        return None
+    folder = f"{path}/versions/{version}" if saved else path
     reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", str(multi_line).lower())
     try:
-        catalog = reader.json(path)
-        present = catalog.dropna("all").count() > 0
+        catalog = reader.json(folder)
+        present = catalog.dropna("all").count() > 0 and (not saved or catalog.count() == n_rows)
     except AnalysisException:
         return None
     except Exception as error:  # a malformed record surfaces as a job failure

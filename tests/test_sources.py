@@ -4,6 +4,7 @@ import os
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from lintlake.operators import analysers, catalog, paths
 from lintlake.sources import catalog_store, trees
@@ -78,3 +79,22 @@ def test_a_failing_analyser_fails_its_run_only(spark, table):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sum(r.project == "p" and r.success and r.size == 4 for r in out) == 30
     assert [(r.success, r.error) for r in out if r.project == "q"] == [(False, "boom")]
+
+
+def test_saving_a_catalog_keeps_the_old_one_until_the_new_one_is_whole(spark, table, tmp_path):
+    path, schema = str(tmp_path / "versions-of-a-catalog"), "uuid string, n int"
+    catalog_store.save_catalog(table([("a", 1), ("b", None)], schema), path)
+    stored = catalog_store.read_catalog(spark, path, table([], schema).schema)
+    catalog_store.save_catalog(stored.withColumn("n", F.coalesce("n", F.lit(0)) + 1), path)  # derived from itself
+    again = catalog_store.read_catalog(spark, path, stored.schema)
+    assert {tuple(r) for r in again.collect()} == {("a", 2), ("b", 1)}
+    assert {tuple(r) for r in stored.collect()} == {("a", 1), ("b", None)}  # readers of the old version go on
+    broken = again.withColumn("n", F.when(F.col("uuid") == "b", F.raise_error(F.lit("halfway"))).otherwise(F.col("n")))
+    with pytest.raises(Exception, match="halfway"):
+        catalog_store.save_catalog(broken, path)
+    assert {tuple(r) for r in catalog_store.read_catalog(spark, path, stored.schema).collect()} == {("a", 2), ("b", 1)}
+    assert catalog_store.drop_old_versions(spark, path, 3600) == 0
+    assert catalog_store.drop_old_versions(spark, path, -60) >= 1
+    assert catalog_store.read_catalog(spark, path, stored.schema).count() == 2
+    catalog_store.invalidate_catalog(spark, path)
+    assert catalog_store.read_catalog(spark, path, stored.schema) is None

@@ -177,10 +177,11 @@ def own_occurrences(fx: Fixtures) -> DataFrame:
     return stage(analysers.detect_clones(own_files(fx)), "occurrences")
 
 
-def json_records(fx: Fixtures) -> DataFrame:
+def json_records(fx: Fixtures, shown: DataFrame | None = None) -> DataFrame:
     places = own_occurrences(fx)
     found = stage(analysers.clones(places, own_files(fx)), "clones")
-    return report.render_json(results(fx), metrics(fx)).unionByName(report.clone_json_lines(found, places))
+    lines = report.render_json(results(fx) if shown is None else shown, metrics(fx))
+    return lines.unionByName(report.clone_json_lines(found, places))
 
 
 def clone_objects(fx: Fixtures) -> DataFrame:
@@ -428,22 +429,17 @@ def write_json(fx: Fixtures) -> DataFrame:
     return documents.read_document(fx.spark, path)
 
 
-@query(
-    "read_results",
-    """
+_RESULTS_SQL = """
     select 'Issue' as kind, filename, pattern_id, message, level, category, line, case when line % 3 = 0 then line + 1 end as col,
            null as complexity, null as loc, null as start_line, null as end_line, null as nr_lines, null as nr_tokens from report_issues
     union all select 'FileError', filename, null, message, null, null, null, null, null, null, null, null, null, null from report_errors
     union all select 'FileMetrics', filename, null, null, null, null, null, null, complexity, loc, null, null, null, null from report_metrics
     union all select 'DuplicationClone', filename, null, null, null, null, null, null, null, null, start_line, end_line, nr_lines, nr_tokens
-        from own_occurrences""",
-)
-def read_results(fx: Fixtures) -> DataFrame:
-    """Tagged JSON results of all kinds, written one per line, decoded and taken apart."""
-    path = scratch_path(fx.spark, "results")
-    placed = results(fx).withColumn("column", F.when(F.col("line") % 3 == 0, F.col("line") + 1))
-    report.render_json(placed, metrics(fx)).select("line").union(clone_objects(fx)).write.text(path)
-    decoded = documents.read_results(fx.spark, path, lines=True)
+        from own_occurrences"""
+
+
+def taken_apart(decoded: DataFrame) -> DataFrame:
+    """Decoded results of all kinds as flat rows."""
     found = documents.issues(decoded).withColumnRenamed("column", "col").withColumn("kind", F.lit("Issue"))
     errors = documents.file_errors(decoded).withColumn("kind", F.lit("FileError"))
     measured = documents.metrics(decoded).select(F.lit("FileMetrics").alias("kind"), "filename", "complexity", "loc")
@@ -452,6 +448,37 @@ def read_results(fx: Fixtures) -> DataFrame:
     return both.unionByName(copied, allowMissingColumns=True)
 
 
+def with_columns(found: DataFrame) -> DataFrame:
+    return found.withColumn("column", F.when(F.col("line") % 3 == 0, F.col("line") + 1))
+
+
+@query(
+    "read_results",
+    _RESULTS_SQL,
+)
+def read_results(fx: Fixtures) -> DataFrame:
+    """Tagged JSON results of all kinds, written one per line, decoded and taken apart."""
+    path = scratch_path(fx.spark, "results")
+    report.render_json(with_columns(results(fx)), metrics(fx)).select("line").union(clone_objects(fx)).write.text(path)
+    return taken_apart(documents.read_results(fx.spark, path, lines=True))
+
+
+@query(
+    "read_result_arrays",
+    _RESULTS_SQL + """
+    union all select 'broken', null, null, '{"FileError":{"filena', null, null, null, null, null, null, null, null, null, null from report_errors""",
+)
+def read_result_arrays(fx: Fixtures) -> DataFrame:
+    """The JSON documents of all projects, with a record that breaks off after each file error, read by many tasks."""
+    path = scratch_path(fx.spark, "result-arrays")
+    records = stage(json_records(fx, with_columns(results(fx))), "records")
+    broken = records.filter(F.col("line").startswith('{"FileError"')).withColumn("line", F.substring("line", 1, 21)).withColumn("s3", F.lit(1))
+    documents.write_document(report.json_document(fx.projects, records.unionByName(broken)), path)
+    read = stage(documents.read_results(fx.spark, path, bad_records=True), "decoded")
+    bad = read.filter("broken is not null").select(F.lit("broken").alias("kind"), F.ltrim("broken", F.lit(",")).alias("message"))
+    return taken_apart(read.filter("broken is null")).unionByName(bad, allowMissingColumns=True)
+
+
 # ---------------------------------------------------------------- export
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from lintlake.functions.scale import stage
 from lintlake.operators.report import SORT_COLUMNS
 
 _LOCATION = "location struct<LineLocation: struct<line: int>, FullLocation: struct<line: int, column: int>>"
@@ -18,14 +21,107 @@ RESULT_SCHEMA = (
 )
 
 
-def read_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+MEMBERS = ("Issue", "FileError", "DuplicationClone", "FileMetrics")
+# A line that begins a record: with its tag, or with an object of another tag. Locations are the only tagged objects within records.
+_BEGINS = r'^[\s,\[]*(\{\s*"(?!FullLocation|LineLocation)[A-Z]\w*"|"(' + "|".join(MEMBERS) + r')")\s*:'
+_EDGE = r"[\s,\[\]{]*"
+
+
+def _record_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Texts of records (folder, file, block, n, is_last, before, text) of JSON arrays cut at line borders.
+
+    A line border is never inside a string, so a record begins where a line begins with its tag. Lines are numbered within
+    the block of a file that a task reads; ``n`` = 0 is what a block has before its first record.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value",
+    )
+    block = Window.partitionBy("file", "block")
+    sofar = block.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = lines.withColumn("n", F.sum(F.col("value").rlike(_BEGINS).cast("int")).over(sofar))
+    numbered = numbered.withColumn("after", F.sum(F.octet_length("value") + 1).over(sofar))
+    numbered = numbered.withColumn("before", F.col("after") - F.octet_length("value") - 1)
+    # The lines of a block are together already: no further shuffle.
+    joined = numbered.groupBy("file", "block", "n").agg(
+        F.min("before").alias("before"), F.max("after").alias("after"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), "\n").alias("text"),
+    )
+    folder = F.regexp_replace("file", r"[^/]*$", "").alias("folder")
+    last = (F.col("n") == F.max("n").over(block)).alias("is_last")
+    return joined.select(folder, "file", "block", "n", last, "before", F.max("after").over(block).alias("length"), "text")
+
+
+def _array_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, offset, text) of every record; what a block has before its first record goes to the last record before it."""
+    records = stage(_record_lines(spark, path), "records")
+    earlier = Window.partitionBy("folder").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = records.groupBy("folder", "file", "block").agg(F.max("n").alias("n"), F.max("length").alias("length"))
+    owner = F.last(F.when(F.col("n") > 0, F.struct("file", "block", "n")), ignorenulls=True).over(earlier).alias("owner")
+    placed = blocks.select("file", "block", owner, F.coalesce(F.sum("length").over(within), F.lit(0)).alias("start"))
+    rests = records.filter("n = 0").filter(~F.col("text").rlike(f"^{_EDGE}$")).join(placed, ["file", "block"])
+    order = F.struct("file", "block", "text")
+    tails = rests.filter("owner is not null").groupBy("owner.file", "owner.block", "owner.n").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["text"]), "\n").alias("tail")
+    )
+    spot = ["file", "block", "n"]
+    whole = records.filter("n > 0 and is_last").join(tails, spot, "left").withColumn("text", F.concat_ws("\n", "text", "tail")).drop("tail")
+    lost = rests.filter("owner is null").select(records.columns)
+    every = records.filter("n > 0 and not is_last").unionByName(whole).unionByName(lost)
+    return every.join(placed, ["file", "block"]).select("file", (F.col("start") + F.col("before")).alias("offset"), "text")
+
+
+def _is_whole(record: Column) -> Column:
+    """Whether exactly one member is there, with the fields that it can't be without."""
+    needed = {
+        "Issue": ("patternId.value", "filename", "message.text"), "FileError": ("filename", "message"),
+        "DuplicationClone": ("cloneLines", "files"), "FileMetrics": ("filename",),
+    }
+    present = sum((record[m].isNotNull().cast("int") for m in MEMBERS), F.lit(0))
+    fields = [record[m].isNull() | _field(record[m], f).isNotNull() for m, names in needed.items() for f in names]
+    return record.isNotNull() & (present == 1) & reduce(Column.__and__, fields)
+
+
+def _field(column: Column, path: str) -> Column:
+    return reduce(lambda found, name: found[name], path.split("."), column)
+
+
+def read_results(spark: SparkSession, path: str, lines: bool = False, bad_records: bool = False) -> DataFrame:
     """Tagged results, one row per result and exactly one non-null member.
 
-    ``lines`` reads one object per line (splittable, for large inputs); otherwise each file is one JSON
-    array. Undecodable input fails the job.
+    ``lines`` reads one object per line; otherwise files hold JSON arrays, whole or (by name within a folder) in pieces cut at
+    line borders, as ``write_document`` leaves them. Arrays are read by as many tasks as their bytes need, if their records begin on lines of
+    their own; records on one line are read, and stand or fall, together. Undecodable input fails the job, unless ``bad_records`` asks for it in
+    rows of its own: columns ``file`` and ``offset`` (of its first line, in bytes) and ``broken`` (its text), null for results.
+    An array without records has no rows.
     """
-    reader = spark.read.schema(RESULT_SCHEMA).option("mode", "FAILFAST")
-    return reader.json(path) if lines else reader.option("multiLine", "true").json(path)
+    if lines:
+        rows = spark.read.option("lineSep", "\n").text(path)
+        at = [F.col("_metadata.file_path").alias("file"), F.lit(None).cast("bigint").alias("offset")]
+        texts = rows.select(*at, F.col("value").alias("text")).filter(~F.col("text").rlike(r"^\s*$"))
+    else:
+        texts = _array_records(spark, path)
+    # From the tag of the first record to the end of the last one, in brackets again.
+    inner = F.regexp_replace(F.regexp_replace("text", r"^[\s,\[{]*", ""), _EDGE + "$", "")
+    decoded = F.from_json(F.concat(F.lit("[{"), inner, F.lit("]")), f"array<struct<{_struct(RESULT_SCHEMA)}>>")
+    parsed = texts.withColumn("records", decoded)
+    good = F.coalesce(F.size("records") > 0, F.lit(False)) & F.coalesce(F.forall("records", _is_whole), F.lit(False))
+    parsed = parsed.withColumn("broken", F.when(~good, F.col("text")))
+    if not bad_records:
+        message = F.concat(F.lit("undecodable result in "), F.col("file"), F.lit(": "), F.substring("broken", 1, 200))
+        checked = F.when(F.col("broken").isNotNull(), F.raise_error(message).cast("string"))
+        return parsed.withColumn("_checked", checked).filter("_checked is null").select(F.explode("records").alias("r")).select("r.*")
+    kept = F.when(F.col("broken").isNull(), F.col("records"))
+    told = [F.when(F.col("broken").isNotNull(), F.col(c)).alias(c) for c in ("file", "offset", "broken")]
+    return parsed.select(*told, F.explode_outer(kept).alias("r")).select("r.*", "file", "offset", "broken")
+
+
+def _struct(columns: str) -> str:
+    """Column definitions as fields of a struct."""
+    for member in MEMBERS:
+        columns = columns.replace(f"{member} struct", f"{member}: struct", 1)
+    return columns
 
 
 def issues(results: DataFrame) -> DataFrame:

@@ -11,29 +11,45 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lintlake.functions.scale import stage
 
-_ENTRY = "project string, root string, path string, is_directory boolean, is_regular boolean, mode int"
+_ENTRY = "project string, root string, path string, is_directory boolean, is_regular boolean, mode int, error string"
+
+
+def _utf8(path: str) -> tuple[str, str | None]:
+    """A path as text, and what is wrong with it."""
+    try:
+        path.encode()
+    except UnicodeEncodeError:
+        return os.fsencode(path).decode("utf-8", "replace"), "the name is not UTF-8"
+    return path, None
 
 
 def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for project, root, path in zip(batch["project"], batch["root"], batch["path"]):
             rows = []
-            with os.scandir(path) as found:
-                for entry in found:
-                    is_directory = entry.is_dir(follow_symlinks=False)
-                    try:
-                        regular, mode = entry.is_file(), entry.stat().st_mode & 0o7777
-                    except OSError:  # a dangling link
-                        regular, mode = False, 0
-                    rows.append((project, root, entry.path, is_directory, regular, mode))
-            yield pd.DataFrame(rows, columns=["project", "root", "path", "is_directory", "is_regular", "mode"])
+            try:
+                with os.scandir(path) as found:
+                    for entry in found:
+                        name, error = _utf8(entry.path)
+                        try:
+                            is_directory, regular = entry.is_dir(follow_symlinks=False), entry.is_file()
+                            mode = entry.stat().st_mode & 0o7777
+                        except OSError:  # a dangling link
+                            is_directory, regular, mode = False, False, 0
+                        # Nothing can be read by a name that is only nearly right.
+                        rows.append((project, root, name, is_directory and not error, regular and not error, mode, error))
+            except OSError as fault:  # the entries seen so far stay
+                rows.append((project, root, path, False, False, 0, fault.strerror or type(fault).__name__))
+            yield pd.DataFrame(rows, columns=[column.split()[0] for column in _ENTRY.split(", ")])
 
 
 def list_trees(roots: DataFrame) -> DataFrame:
-    """Manifest ``(project, root, path, is_regular, mode)`` of directories on a shared mount.
+    """Manifest ``(project, root, path, is_regular, mode, error)`` of directories on a shared mount.
 
     ``roots (project, root)``. One round per directory level: all directories of a level are listed in
     parallel, so a huge project spreads over the cluster like many small ones. Hidden files are kept.
+    A directory that may not be read or is gone, and an entry whose name is no UTF-8, are rows with an ``error`` that are no
+    regular files; listing goes on.
     """
     level = roots.select("project", "root", F.col("root").alias("path"))
     rounds = []
@@ -42,7 +58,7 @@ def list_trees(roots: DataFrame) -> DataFrame:
         rounds.append(listed.filter(~F.col("is_directory")).drop("is_directory"))
         level = listed.filter("is_directory").select("project", "root", "path")
     if not rounds:
-        return roots.select("project", "root", F.lit("").alias("path"), F.lit(False).alias("is_regular"), F.lit(0).alias("mode")).limit(0)
+        return roots.select("project", "root", F.lit("").alias("path"), F.lit(False).alias("is_regular"), F.lit(0).alias("mode"), F.lit(None).cast("string").alias("error")).limit(0)
     return reduce(DataFrame.unionByName, rounds)
 
 

@@ -19,6 +19,11 @@ TOOLS = "kind string, tool string, name string, version string, prefix string"
 PATTERNS = "tool string, id string, category string, title string, description string, explanation string"
 
 
+MESSAGES = {"Security": "Input reaches the shell", "Duplication": "Same block as above"}
+
+# Fixed values, behind the two fingerprints below: the file test.js with the lines "line 1" and "line 2", and the pattern ids.
+
+
 def assembled(lines):
     ordered = lines.orderBy("project", *report.SORT_COLUMNS).collect()
     return "".join(r.line for r in ordered)
@@ -26,19 +31,19 @@ def assembled(lines):
 
 def sarif_inputs(table, prefix=""):
     issues = [
-        ("p", "custom", "JS", f"{prefix}security-pattern-id", "test.js", "My Security Issue Message", "Error", "Security", 1, None),
-        ("p", "custom", "JS", f"{prefix}duplication-pattern-id", "test.js", "My Duplication Issue Message", "Error", "Duplication", 2, None),
+        ("p", "house", "JS", f"{prefix}security-pattern-id", "test.js", "Input reaches the shell", "Error", "Security", 1, None),
+        ("p", "house", "JS", f"{prefix}duplication-pattern-id", "test.js", "Same block as above", "Error", "Duplication", 2, None),
     ]
     patterns = [
-        ("custom", f"{kind.lower()}-pattern-id", kind, f"My {kind} Pattern Title", f"My {kind} Pattern Description", f"My {kind} Pattern Explanation")
+        ("house", f"{kind.lower()}-pattern-id", kind, f"{kind} finding", f"Looks for {kind} trouble", f"Mend {kind} trouble early")
         for kind in ("Security", "Duplication")
     ]
     return (
         table(issues, ISSUES),
-        table([("issues", "custom", "custom Tool", "v1.0.0", prefix)], TOOLS),
+        table([("issues", "house", "house Checks", "v1.0.0", prefix)], TOOLS),
         table(patterns, PATTERNS),
         table([("p", "test.js", "line 1\nline 2")], "project string, filename string, text string"),
-        table([("p", "issues", "custom", "JS", 1, True, None), ("p", "issues", "broken", "JS", 2, False, "x")], RUNS),
+        table([("p", "issues", "house", "JS", 1, True, None), ("p", "issues", "broken", "JS", 2, False, "x")], RUNS),
     )
 
 
@@ -60,16 +65,16 @@ def test_sarif_document(table, compat, legacy):
     )
 
     def rule(kind):
-        text = f"My {kind} Pattern Description"
+        text = f"Looks for {kind} trouble"
         return {
-            "id": f"{kind.lower()}-pattern-id", "name": f"My {kind} Pattern Title", "shortDescription": {"text": text},
-            "help": {"text": text, "markdown": f"My {kind} Pattern Explanation"}, "properties": {"category": kind},
+            "id": f"{kind.lower()}-pattern-id", "name": f"{kind} finding", "shortDescription": {"text": text},
+            "help": {"text": text, "markdown": f"Mend {kind} trouble early"}, "properties": {"category": kind},
         }
 
     def result(index, kind, line, level, fingerprint):
         place = {"artifactLocation": {"index": 0, "uri": "test.js"}, "region": {"startLine": line, "startColumn": 1}}
         return {
-            "ruleIndex": index, "ruleId": f"{kind.lower()}-pattern-id", "message": {"text": f"My {kind} Issue Message"}, "level": level,
+            "ruleIndex": index, "ruleId": f"{kind.lower()}-pattern-id", "message": {"text": MESSAGES[kind]}, "level": level,
             "locations": [{"physicalLocation": place}],
             "partialFingerprints": {"primaryLocationStartColumnFingerprint": "1", "primaryLocationLineHash": fingerprint},
         }
@@ -81,7 +86,7 @@ def test_sarif_document(table, compat, legacy):
             {
                 "tool": {
                     "driver": {
-                        "name": "Custom Tool (reported)",
+                        "name": "House Checks (reported)",
                         "version": "1.0.0",
                         "informationUri": "https://example.org",
                         "rules": [rule("Security"), rule("Duplication")],
@@ -108,26 +113,26 @@ def test_prefixed_patterns_find_their_rules(table):
 
 
 def one_result(category=None):
-    return ("p", "exampleTool", "any", "Issue", "test", "example", "example message", "Info", category, 1, 1)
+    return ("p", "lint-x", "any", "Issue", "P7", "one.py", "unused name", "Info", category, 1, 1)
 
 
 @pytest.mark.parametrize(("category", "shown"), [(None, ""), ("UnusedCode", '"category":"UnusedCode",')])
 def test_nested_report(table, category, shown):
-    runs = table([("p", "issues", "exampleTool", "any", 1, True, None)], RUNS)
-    files = table([("p", "exampleTool", "any", "example")], "project string, tool string, language string, filename string")
+    runs = table([("p", "issues", "lint-x", "any", 1, True, None)], RUNS)
+    files = table([("p", "lint-x", "any", "one.py")], "project string, tool string, language string, filename string")
     lines = export.issues_report(runs, files, table([one_result(category)], RESULTS))
     assert assembled(lines) == (
-        '[{"tool":"exampleTool","issues":{"Success":{"results":[{"filename":"example","results":[{"Issue":{"patternId":{"value":"test"},'
-        f'"filename":"example","message":{{"text":"example message"}},"level":"Info",{shown}'
+        '[{"tool":"lint-x","issues":{"Success":{"results":[{"filename":"one.py","results":[{"Issue":{"patternId":{"value":"P7"},'
+        f'"filename":"one.py","message":{{"text":"unused name"}},"level":"Info",{shown}'
         '"location":{"FullLocation":{"line":1,"column":1}}}}]}]}}}]'
     )
 
 
 def test_nested_report_of_a_failure(table):
-    runs = table([("p", "issues", "exampleTool", "any", 1, False, "This is a failure")], RUNS)
+    runs = table([("p", "issues", "lint-x", "any", 1, False, "out of memory")], RUNS)
     nothing = table([], RESULTS)
     lines = export.issues_report(runs, nothing.select("project", "tool", "language", "filename"), nothing)
-    assert assembled(lines) == '[{"tool":"exampleTool","issues":{"Failure":{"message":"This is a failure"}}}]'
+    assert assembled(lines) == '[{"tool":"lint-x","issues":{"Failure":{"message":"out of memory"}}}]'
 
 
 CLONES = "project string, language string, clone_id string, clone_lines string, nr_tokens int, nr_lines int"
@@ -182,7 +187,7 @@ def test_text_document(table, everything):
     assert text == [
         "Starting analysis ...",
         'Found say "no" in bad',
-        "Found [Info] `example message` in example:1:1 (test)",
+        "Found [Info] `unused name` in one.py:1:1 (P7)",
         "Found [Metrics] in m:\n  CC - 1",
         "No [Metrics] found in n.",
         "Found [Clone] 5 duplicated lines with 9 tokens:",

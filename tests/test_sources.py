@@ -28,6 +28,23 @@ def test_list_trees(table, tree):
     assert found == {("p", "src/a.py"): True, ("p", ".gitignore"): True, ("q", "b.js"): False}
 
 
+def test_listing_goes_on_after_faults(table, tree):
+    (tree / "p" / "after").mkdir()
+    (tree / "p" / "after" / "z").write_text("z")
+    os.mkdir(os.fsencode(tree / "p") + b"/dir\xff")
+    with open(os.fsencode(tree / "p") + b"/name\xff", "w"):
+        pass
+    roots = table([("p", str(tree / "p")), ("gone", str(tree / "gone")), ("file", str(tree / "q/b.js"))], "project string, root string")
+    manifest = trees.list_trees(roots)
+    faults = {(r.project, r.path.rpartition("/")[2], r.error) for r in manifest.filter("error is not null").collect()}
+    assert faults == {
+        ("p", "dir\ufffd", "the name is not UTF-8"), ("p", "name\ufffd", "the name is not UTF-8"),
+        ("gone", "gone", "No such file or directory"), ("file", "b.js", "Not a directory"),
+    }
+    listed = paths.list_files(paths.split_readable(manifest))
+    assert {(r.project, r.filename) for r in listed.collect()} == {("p", "src/a.py"), ("p", ".gitignore"), ("p", "after/z")}
+
+
 def test_read_trees(spark, tree):
     read = trees.read_trees(spark, str(tree)).select("project", "filename", "text")
     assert {tuple(r) for r in read.collect()} == {("p", "src/a.py", "x = 1\n"), ("q", "b.js", "é")}

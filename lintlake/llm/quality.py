@@ -16,17 +16,19 @@ are shuffled.
 
 Defined results: a null text has no words and fails the base rules, as do empty texts; a null language is a stratum of
 its own; a document with several label rows counts as good only if all of them say 1; null labels are ignored; without
-labels only the base rules apply; columns of the input beyond doc_id, text and lang are ignored by ``measures`` and kept
-by ``judge``, whose own columns win over input columns of the same name.
+labels only the base rules apply; columns of the input beyond doc_id, text and lang are ignored, unless they are carried
+(``carry``): then they come back as column ``carried``, one struct, so that no name of theirs can clash.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lintlake.functions.scale import stage
+from lintlake.llm.tables import stage_compressed
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -85,8 +87,11 @@ def _repeated_words(words: Column) -> Column:
     return F.when(last < 0, F.lit(0)).otherwise(repeated)
 
 
-def measures(documents: DataFrame) -> DataFrame:
-    """One row per document: doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals."""
+def measures(documents: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per document: doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals.
+
+    With ``carry`` also ``carried``: a struct of these columns, untouched.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     all_of_text = _bound(
         F.struct(text.alias("t"), _words(text).alias("w"), F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines")),
@@ -100,9 +105,9 @@ def measures(documents: DataFrame) -> DataFrame:
             F.regexp_count(x["t"], F.lit(r"\p{Lu}{2,}")).cast("long").alias("n_capitals"),
         ),
     )
-    return documents.select("doc_id", F.col("lang").cast("string").alias("lang"), all_of_text.alias("m")).select(
-        "doc_id", "lang", "m.*"
-    )
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    measured = documents.select("doc_id", F.col("lang").cast("string").alias("lang"), all_of_text.alias("m"), *carried)
+    return measured.select("doc_id", "lang", "m.*", *(["carried"] if carry else []))
 
 
 def _share(part: str, whole: str) -> Column:
@@ -197,9 +202,16 @@ def thresholds(measured: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def judge(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The measures of every document, base_failed, and kept by the proven cutoffs of its language."""
-    measured = stage(measures(documents), "quality-measures")
+def judge(documents: DataFrame, labels: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The measures of every document, base_failed, and kept by the proven cutoffs of its language.
+
+    Every row is judged by itself, whatever its id. What is to be kept or dropped with it travels in ``carried``: that
+    costs one staged copy and spares a join by id, which null or shared ids would not survive.
+    """
+    if carry:
+        measured = stage_compressed(measures(documents, carry), "quality-measures")
+    else:
+        measured = stage(measures(documents), "quality-measures")
     proven = thresholds(measured, labels).select("stratum", "chosen")
     rejects = F.col("level") >= F.lit(len(MULTIPLIERS)) - F.col("chosen")
     return (

@@ -100,6 +100,8 @@ def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 MAX_HOT_KEYS = 1000
+#: Copies of a hot key for each 1/MAX_HOT_KEYS of all rows. With one, tasks differ by whole copies that fall together.
+COPIES_PER_SHARE = 4
 
 
 def weighted_join(
@@ -113,24 +115,24 @@ def weighted_join(
 ) -> DataFrame:
     """Join ``rows`` to per-key ``groups`` that know how many rows each key has (column ``weight``).
 
-    For group tables too large to copy as a whole. Keys above 1/MAX_HOT_KEYS of the total weight are
-    salted, the others are joined as they are. There are fewer than MAX_HOT_KEYS such keys whatever
-    the data, so that list alone is broadcast. ``groups`` is staged, since it is read three times.
+    For group tables too large to copy as a whole. A key above 1/MAX_HOT_KEYS of the total weight is copied as often as
+    its weight needs, COPIES_PER_SHARE times for each such share, whatever the number of partitions; other keys are joined as
+    they are. There are fewer than MAX_HOT_KEYS hot keys whatever the data, with a bounded number of copies in all, so that
+    list alone is broadcast. ``salts`` limits the copies of a key. ``groups`` is staged, since it is read three times.
     """
     on = list(on)
-    salts = salt_count(rows.sparkSession) if salts is None else salts
-    if salts <= 1:
-        return rows.join(groups, on, how)
     groups = stage(groups, "weighted-groups")
     total = groups.agg(F.sum(weight)).first()[0] or 0
-    is_hot = F.col(weight) * MAX_HOT_KEYS > F.lit(total)
-    hot = groups.filter(is_hot).select(*on, F.lit(True).alias("_hot"))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    shares = F.col(weight) * MAX_HOT_KEYS
+    copies = F.ceil(shares * COPIES_PER_SHARE / F.lit(max(1, total))).cast("int")
+    copies = copies if salts is None else F.least(copies, F.lit(max(1, salts)))
+    hot = groups.filter(shares > F.lit(total)).select(*on, copies.alias("_copies"))
+    salt = F.when(F.col("_copies").isNotNull(), F.pmod(F.xxhash64(*spread), F.col("_copies")).cast("int")).otherwise(F.lit(0))
+    salts = F.when(shares > F.lit(total), F.sequence(F.lit(0), copies - 1)).otherwise(F.array(F.lit(0)))
     return (
         rows.join(F.broadcast(hot), on, "left")
         .withColumn("_salt", salt)
-        .drop("_hot")
-        .join(groups.withColumn("_salt", F.explode(copies)), [*on, "_salt"], how)
+        .drop("_copies")
+        .join(groups.withColumn("_salt", F.explode(salts)), [*on, "_salt"], how)
         .drop("_salt")
     )

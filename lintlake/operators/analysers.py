@@ -5,8 +5,11 @@ Input is ``(project, tool, language, filename, text, ...)``, one row per file an
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -373,9 +376,7 @@ def custom_analyser(
     file, the run fails: its results are dropped and one row with ``success = false`` and the message stays.
     """
     run = list(run)
-    keys = ", ".join(f"{k} string" for k in run)
-    schema = f"{keys}, success boolean, error string, {result_schema}"
-    names = [part.strip().split(" ")[0] for part in result_schema.split(",")]
+    schema, names = _outcome_schema(run, result_schema)
     columns = [*run, "success", "error", *names]
 
     def outcome(part: pd.DataFrame) -> pd.DataFrame:
@@ -392,10 +393,151 @@ def custom_analyser(
                 yield outcome(batch.iloc[[at]])
 
     called = files.groupBy(*run).applyInPandas(outcome, schema) if whole_runs else files.mapInPandas(by_file, schema)
-    raw = stage(called, "custom-analyser")
+    return _failures_apart(stage(called, "custom-analyser"), run, names)
+
+
+def _outcome_schema(run: Sequence[str], result_schema: str) -> tuple[str, list[str]]:
+    """The schema of raw outcomes, and the names of the result columns."""
+    keys = ", ".join(f"{k} string" for k in run)
+    names = [part.strip().split(" ")[0] for part in result_schema.split(",")]
+    return f"{keys}, success boolean, error string, {result_schema}", names
+
+
+def _failures_apart(raw: DataFrame, run: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Results of the runs without a failure, and one row with the message for every other run."""
     failed = raw.filter("not success").groupBy(*run).agg(F.min("error").alias("error"))
     # Runs with a null in their key are runs like others, so nulls have to meet.
     known = {f"_{k}": F.coalesce(k, F.lit("\0")) for k in run}
     lost = failed.withColumns(known).select(*known)
     results = lookup_join(raw.filter("success").withColumns(known), lost, list(known), spread=names, how="left_anti").drop(*known)
     return results.unionByName(failed.withColumn("success", F.lit(False)), allowMissingColumns=True)
+
+
+#: Partial states merged by one step of a tree, keys a task holds while it maps, and keys it hands on together afterwards.
+FAN_IN = 64
+HELD_KEYS = 20_000
+HANDED_ON = 256
+
+
+def merging_analyser(
+    files: DataFrame,
+    map_file: Callable[[pd.DataFrame], Mapping[str, Any]],
+    merge: Callable[[Any, Any], Any],
+    finish: Callable[[str, Any], pd.DataFrame | None],
+    result_schema: str,
+    run: Sequence[str] = ("project", "tool", "language"),
+    fan_in: int = FAN_IN,
+) -> DataFrame:
+    """Like :func:`custom_analyser` for user code that compares files, without a run ever being in one task.
+
+    ``map_file`` gets a frame with one file and returns partial states by key (texts; what is to be compared has one
+    key). ``merge`` unites two states of a key; it must be associative and commutative. ``finish`` turns a key's united state
+    into result rows (``result_schema``) or None. Files are mapped where they lie and united within their task first; the
+    states of a key, however many, are then united in a tree, ``fan_in`` at a time. So a task needs memory for the
+    states of ``HELD_KEYS`` keys at most. If any of the three raises, the run fails with the smallest message; null runs, repeated files
+    and empty tables are as in ``custom_analyser``.
+    """
+    if fan_in < 2:
+        raise ValueError("a tree needs a fan-in of 2 or more")
+    run = list(run)
+    schema, names = _outcome_schema(run, result_schema)
+    state_columns = [*run, "_key", "_state", "_error"]
+    state_schema = ", ".join(f"{k} string" for k in run) + ", _key string, _state binary, _error string"
+
+    def as_rows(states: Mapping[tuple, Any], errors: Mapping[tuple, str]) -> pd.DataFrame:
+        rows = [(*who, key, pickle.dumps(state), None) for (who, key), state in states.items()]
+        rows += [(*who, None, None, message) for who, message in errors.items()]
+        return pd.DataFrame(rows, columns=state_columns, dtype=object)
+
+    def runs_of(batch: pd.DataFrame) -> Iterator[tuple]:
+        return zip(*([None if pd.isna(value) else value for value in batch[k]] for k in run))
+
+    def mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, Any] = {}
+        errors: dict[tuple, str] = {}
+        for batch in batches:
+            for at, who in enumerate(runs_of(batch)):
+                try:
+                    for key, state in map_file(batch.iloc[[at]]).items():
+                        place = (who, key)
+                        held[place] = merge(held[place], state) if place in held else state
+                except Exception as error:  # the contract: a failing analyser fails its run only
+                    errors[who] = min(errors.get(who, str(error)), str(error))
+                if len(held) >= HELD_KEYS:
+                    yield as_rows(held, {})
+                    held = {}
+        yield as_rows(held, errors)
+
+    def united(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, str, Any, str | None]]:
+        """Run, key, state and error of every stretch of rows with one run and key."""
+        place, state, error = None, None, None
+        for batch in batches:
+            for who, key, blob in zip(runs_of(batch), batch["_key"], batch["_state"]):
+                if (who, key) != place:
+                    if place is not None:
+                        yield *place, state, error
+                    place, state, error = (who, key), pickle.loads(blob), None
+                elif error is None:
+                    try:
+                        state = merge(state, pickle.loads(blob))
+                    except Exception as fault:
+                        error = str(fault)
+        if place is not None:
+            yield *place, state, error
+
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, Any] = {}
+        errors: dict[tuple, str] = {}
+        for who, key, state, error in united(batches):
+            if error is None:
+                held[who, key] = state
+            else:
+                errors[who] = min(errors.get(who, error), error)
+            if len(held) >= HANDED_ON:
+                yield as_rows(held, {})
+                held = {}
+        yield as_rows(held, errors)
+
+    def finished(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ready: list[pd.DataFrame] = []
+        for who, key, state, error in united(batches):
+            base = dict(zip(run, who))
+            found = None
+            if error is None:
+                try:
+                    found = finish(key, state)
+                    found = None if found is None else found[names].assign(**base, success=True, error=None)
+                except Exception as fault:
+                    error = str(fault)
+            if error is not None:
+                found = pd.DataFrame([{**base, "success": False, "error": error, **dict.fromkeys(names)}])
+            if found is not None:
+                ready.append(found[[*run, "success", "error", *names]])
+            if len(ready) >= HANDED_ON:
+                yield pd.concat(ready, ignore_index=True)
+                ready = []
+        if ready:
+            yield pd.concat(ready, ignore_index=True)
+
+    def numbered(states: DataFrame) -> DataFrame:
+        # Staged with the numbers, so that a task that runs again deals the states out as before.
+        return stage(states.withColumn("_n", F.monotonically_increasing_id()), "analyser-states")
+
+    key = [*run, "_key"]
+    states = numbered(files.mapInPandas(mapped, state_schema))
+    errors = [states.filter("_error is not null")]
+    while True:
+        widest = states.filter("_error is null").groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+        if widest <= fan_in:
+            break
+        deal = F.pmod(F.xxhash64("_n"), F.lit(math.ceil(widest / fan_in))).alias("_deal")
+        dealt = states.filter("_error is null").select(*key, "_state", deal)
+        near = dealt.repartition(*key, "_deal").sortWithinPartitions(*key, "_deal")
+        states = numbered(near.mapInPandas(merged, state_schema))
+        errors.append(states.filter("_error is not null"))
+    last = states.filter("_error is null").select(*key, "_state").repartition(*key).sortWithinPartitions(*key)
+    raw = last.mapInPandas(finished, schema)
+    for failed in errors:
+        lost = failed.select(*run, F.lit(False).alias("success"), F.col("_error").alias("error"))
+        raw = raw.unionByName(lost, allowMissingColumns=True)
+    return _failures_apart(stage(raw, "merging-analyser"), run, names)

@@ -326,6 +326,38 @@ def custom_analyser(fx: Fixtures) -> DataFrame:
     return analysers.custom_analyser(files, measure, "filename string, n_chars long")
 
 
+@query(
+    "merging_analyser",
+    """
+    with opened as (
+        select project, tool, language, filename, left(text, 1) as opening, contains(text, '@') as breaks from issue_files),
+    broken as (select distinct project, tool, language from opened where breaks)
+    select project, tool, language, true as success, cast(null as varchar) as error, opening, min(filename) as first_file, count(*) as n_files
+    from opened
+    where not exists (select 1 from broken b where b.project = opened.project and b.tool = opened.tool and b.language = opened.language)
+    group by project, tool, language, opening having count(*) > 1
+    union all select project, tool, language, false, 'unexpected @', null, null, null from broken""",
+)
+def merging_analyser(fx: Fixtures) -> DataFrame:
+    """Files of a run that begin with the same letter."""
+
+    def first_letter(file: pd.DataFrame) -> dict[str, tuple[str, int]]:
+        text = file["text"].iat[0]
+        if "@" in text:
+            raise ValueError("unexpected @")
+        return {text[:1]: (file["filename"].iat[0], 1)}
+
+    def both(a: tuple[str, int], b: tuple[str, int]) -> tuple[str, int]:
+        return min(a[0], b[0]), a[1] + b[1]
+
+    def alike(letter: str, state: tuple[str, int]) -> pd.DataFrame | None:
+        name, n = state
+        return pd.DataFrame({"opening": [letter], "first_file": [name], "n_files": [n]}) if n > 1 else None
+
+    files = analysis(fx).files_of("issues").select("project", "tool", "language", "filename", "text")
+    return analysers.merging_analyser(files, first_letter, both, alike, "opening string, first_file string, n_files long", fan_in=4)
+
+
 # ---------------------------------------------------------------- merging
 
 

@@ -349,7 +349,86 @@ def sarif_report(fx: Fixtures) -> DataFrame:
     return report.sarif_results(moved_issues(fx), issue_tools(fx), fx.patterns, fx.files, compat=True)
 
 
-@query("sarif_document")
+def _sql_line(s1: int, s2: str, s3: int, s4: str, line: str, source: str) -> str:
+    return f"select project, {s1} as s1, {s2} as s2, {s3} as s3, {s4} as s4, {line} as line from {source}"
+
+
+_COMMA = "case when {} then '' else ',' end || "
+_TOOL_JSON = """cast(to_json({'name': case tool when 'lint-a' then 'Lint-a (reported)' else 'Lint-b (reported)' end,
+    'version': case tool when 'lint-a' then '1.2.0' else '2.0' end, 'informationUri': ''}) as varchar)"""
+# Members that are null are left out of a record.
+_RULE_JSON = """cast(case when help_markdown is null
+    then to_json({'id': rule_id, 'name': name, 'shortDescription': {'text': short_text}, 'help': {'text': short_text},
+                  'properties': {'category': category}})
+    else to_json({'id': rule_id, 'name': name, 'shortDescription': {'text': short_text},
+                  'help': {'text': short_text, 'markdown': help_markdown}, 'properties': {'category': category}}) end as varchar)"""
+_RESULT_JSON = """cast(to_json({'ruleIndex': rule_index, 'ruleId': rule_id, 'message': {'text': message}, 'level': level,
+    'locations': [{'physicalLocation': {'artifactLocation': {'index': artifact_index, 'uri': filename},
+                                        'region': {'startLine': start_line, 'startColumn': 1}}}],
+    'partialFingerprints': {'primaryLocationStartColumnFingerprint': '1', 'primaryLocationLineHash': fingerprint}}) as varchar)"""
+
+ctes(
+    flat_results=r"""
+        select m.project, m.tool, m.language, c.is_security, m.pattern_id as rule_id, r.rule_index,
+               case when m.level in ('High', 'Error') then 'error' when m.level = 'Warning' then 'warning' else 'note' end as level,
+               m.message, m.filename, a.artifact_index, greatest(m.line, 1) as start_line,
+               coalesce(nullif(ltrim(md5(m.filename || m.pattern_id || regexp_replace(m.content, '[\s\x0B]', '', 'g')), '0'), ''), '0') as fingerprint
+        from moved_with_text m join catalog_patterns c on c.tool = m.tool and c.pattern_id = m.pattern_id
+        join artifacts a on a.project = m.project and a.tool = m.tool and a.language = m.language and a.filename = m.filename
+        join rules r on r.project = m.project and r.tool = m.tool and r.language = m.language and r.rule_id = m.pattern_id""",
+    spotted_results=f"""
+        select project, tool || chr(1) || language as run_key, json,
+               case when is_security then '0' else '1' end || chr(1) || filename || chr(1) || lpad(cast(start_line as varchar), 10, '0')
+               || chr(1) || rule_id || chr(1) || md5(json) as spot
+        from (select *, {_RESULT_JSON} as json from flat_results) x""",
+    sarif_runs="""
+        select *, run_key = min(run_key) over (partition by project) as is_first
+        from (select project, tool, tool || chr(1) || language as run_key from good_report_runs) x""",
+    issue_report_runs="""
+        select *, run_key = min(run_key) over (partition by project) as is_first
+        from (select project, tool, language, success, error, tool || chr(1) || language as run_key from report_runs where kind = 'issues') x""",
+    report_heads="""
+        select project, tool, language, tool || chr(1) || language as run_key, filename,
+               filename = min(filename) over (partition by project, tool, language) as is_first
+        from report_run_files join good_report_runs using (project, tool, language)""",
+    report_items="""
+        select *, json = min(json) over (partition by project, tool, language, filename) as is_first
+        from (select project, tool, language, tool || chr(1) || language as run_key, filename, json
+              from result_json join good_report_runs using (project, tool, language) where json is not null) x""",
+)
+_INVOCATION = '{"executionSuccessful":true,"workingDirectory":{"uri":"file:///"}}'
+_SCHEMA_LINE = '{"$schema":"https://docs.oasis-open.org/sarif/sarif/v2.1.0/cos02/schemas/sarif-schema-2.1.0.json","version":"2.1.0","runs":['
+_RUN_KEY = "tool || chr(1) || language"
+_FAILURE_JSON = "cast(to_json({'Failure': {'message': error}}) as varchar)"
+_LEAD = _COMMA.format("is_first") + """'{"tool":"' || tool || '","issues":{' || """
+
+
+@query(
+    "sarif_document",
+    " union all ".join(
+        [
+            _sql_line(0, "''", 0, "''", f"'{_SCHEMA_LINE}'", "projects"),
+            _sql_line(
+                1, "run_key", 0, "''",
+                _COMMA.format("is_first") + f"""'{{"tool":{{"driver":{{' || substr({_TOOL_JSON}, 2, length({_TOOL_JSON}) - 2) || ',"rules":['""",
+                "sarif_runs",
+            ),
+            _sql_line(1, _RUN_KEY, 1, "lpad(cast(rule_index + 1 as varchar), 12, '0')", _COMMA.format("rule_index = 0") + _RULE_JSON, "rules"),
+            _sql_line(1, "run_key", 2, "''", """']}},"results":['""", "sarif_runs"),
+            _sql_line(
+                1, "run_key", 3, "spot",
+                _COMMA.format("spot = min(spot) over (partition by project, run_key)") + "json", "spotted_results",
+            ),
+            _sql_line(1, "run_key", 4, "''", f"""'],"invocations":[{_INVOCATION}],"artifacts":['""", "sarif_runs"),
+            _sql_line(
+                1, _RUN_KEY, 5, "lpad(cast(artifact_index as varchar), 12, '0')",
+                _COMMA.format("artifact_index = 0") + "cast(to_json({'location': {'uri': filename}}) as varchar)", "artifacts",
+            ),
+            _sql_line(1, "run_key", 6, "''", "']}'", "sarif_runs"),
+            _sql_line(9, "''", 0, "''", "']}'", "projects"),
+        ]
+    ),
+)
 def sarif_document(fx: Fixtures) -> DataFrame:
     """The SARIF documents as ordered lines."""
     found = stage(moved_issues(fx), "issues")
@@ -491,7 +570,26 @@ def issues_report(fx: Fixtures) -> DataFrame:
     return export.result_rows_json(run_files(fx), results(fx))
 
 
-@query("issues_report_document")
+@query(
+    "issues_report_document",
+    " union all ".join(
+        [
+            _sql_line(0, "''", 0, "''", "'['", "projects"),
+            _sql_line(1, "run_key", 0, "''", _LEAD + """'"Success":{"results":['""", "issue_report_runs where success"),
+            _sql_line(
+                1, "run_key", 0, "''", _LEAD + f"substr({_FAILURE_JSON}, 2) || '}}'", "issue_report_runs where not success",
+            ),
+            _sql_line(
+                1, "run_key", 1, "filename || chr(1) || '0'",
+                _COMMA.format("is_first") + """'{"filename":"' || filename || '","results":['""", "report_heads",
+            ),
+            _sql_line(1, "run_key", 1, "filename || chr(1) || '1' || json", _COMMA.format("is_first") + "json", "report_items"),
+            _sql_line(1, "run_key", 1, "filename || chr(1) || '2'", "']}'", "report_heads"),
+            _sql_line(1, "run_key", 2, "''", "']}}}'", "issue_report_runs where success"),
+            _sql_line(9, "''", 0, "''", "']'", "projects"),
+        ]
+    ),
+)
 def issues_report_document(fx: Fixtures) -> DataFrame:
     """The nested report as ordered lines."""
     return export.issues_report(fx.report_runs, run_files(fx), results(fx))

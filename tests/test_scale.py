@@ -147,3 +147,21 @@ def test_operators_under_salting(spark, table):
         assert outcome() == before
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_hot_key_is_copied_by_its_weight(spark):
+    """A third of all rows in one key: at 200 partitions the largest task stays below twice the median."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for key, value in zip(before, ("200", "false", "-1")):
+        spark.conf.set(key, value)
+    try:
+        n = 300_000
+        rows = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 20_000).alias("k"), "id")
+        groups = rows.groupBy("k").agg(F.count("*").alias("n"))
+        joined = scale.weighted_join(rows, groups, ["k"], "n", spread=["id"])
+        assert joined.count() == n and joined.filter("k = -1").agg(F.min("n"), F.max("n")).first() == (n // 3, n // 3)
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 200 and sizes[-1] < 2 * sizes[100]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -45,6 +45,15 @@ def lookup_join(
     return salted_rows.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
 
 
+def catalog_join(rows: DataFrame, catalog: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join many ``rows`` to a lookup that grows with the data, as catalogs of tools do: merged at every size.
+
+    Spark estimates a lookup by its compressed files and does not count copies, so :func:`lookup_join` has it broadcast
+    millions of rows. Nothing is copied here: adaptive execution splits the partitions that a hot key fills.
+    """
+    return rows.join(catalog.hint("merge"), list(on), how)
+
+
 def spread_rank(rows: DataFrame, keys: Sequence[str], by: str, name: str) -> DataFrame:
     """0-based position of each row among the rows with the same ``keys``, in the order (md5(by), by).
 

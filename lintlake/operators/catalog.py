@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lintlake.functions import languages as lang, text
-from lintlake.functions.scale import lookup_join
+from lintlake.functions.scale import catalog_join, lookup_join
 
 # Severity levels, categories and sub-categories a pattern may carry.
 LEVELS = ["Info", "Warning", "High", "Error"]
@@ -24,8 +24,7 @@ SUBCATEGORIES = [
 
 def prefer(first: DataFrame, second: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of ``first``, and those of ``second`` whose key ``first`` does not have."""
-    others = [c for c in second.columns if c not in key]
-    rest = lookup_join(second, first.select(*key).distinct(), key, spread=others, how="left_anti")
+    rest = catalog_join(second, first.select(*key).distinct(), key, how="left_anti")
     return first.unionByName(rest.select(*second.columns))
 
 

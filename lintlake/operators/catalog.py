@@ -73,7 +73,7 @@ def find_tool(requests: DataFrame, tools: DataFrame) -> DataFrame:
     keyed = tools.select(F.explode(names).alias("_key"), "position", "uuid", "standalone")
     earliest = keyed.groupBy("_key").agg(F.min_by(F.struct("uuid", "standalone"), "position").alias("_tool"))
     asked = requests.withColumn("_key", F.lower("query"))
-    joined = lookup_join(asked, earliest, ["_key"], spread=["request_id"])
+    joined = catalog_join(asked, earliest, ["_key"])
     status = (
         F.when(F.col("_tool").isNull(), F.lit("unknown"))
         .when(F.col("_tool.standalone"), F.lit("standalone"))

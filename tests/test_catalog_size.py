@@ -35,3 +35,13 @@ def test_fallback(table, capsys):
     found = catalog.tools_with_fallback(fetched, saved)
     assert joins(found, capsys) == (0, 1)
     assert rows(found, "uuid", "version") == [("u1", "new"), ("u2", "new"), ("u9", "old")]
+
+
+def test_find_tool(table, capsys):
+    tools = table(TOOLS, TOOL_COLUMNS)
+    asked = table([(1, "TOOL-1"), (2, "u2"), (3, "none"), (4, None)], "request_id long, query string")
+    found = catalog.find_tool(asked, tools)
+    assert joins(found, capsys) == (0, 1)
+    assert rows(found, "request_id", "uuid", "status") == [
+        (1, "u1", "found"), (2, None, "standalone"), (3, None, "unknown"), (4, None, "unknown"),
+    ]

@@ -51,7 +51,7 @@ def normalize_patterns(
 ) -> DataFrame:
     """Strip the tool prefix from ids; a missing title becomes the id as delivered."""
     prefixes = tools.select("uuid", F.col("prefix").alias("_prefix"))
-    joined = lookup_join(raw, prefixes, ["uuid"], spread=["id"], how="inner")
+    joined = catalog_join(raw, prefixes, ["uuid"], how="inner")
     return joined.select(
         *[c for c in raw.columns if c not in ("id", "title", "languages")],
         text.strip_prefix(F.col("id"), F.col("_prefix")).alias("id"),

@@ -199,6 +199,10 @@ METRIC_RULES = {
 GIVEN = {"documents": "doc_id", "pages": "page_id", "part": "p_partkey", "lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
+#: Tables of tools, as many as there are parts: joins of the views merge them instead of going by the size of their files.
+MERGED = {"part", "raw_tools_csv"}
+
+
 def references(sql: str) -> list[str]:
     """Names a view text refers to."""
     return sorted(set(re.findall(r"(?<!\{)\{([a-z_]+)\}(?!\})", sql)))
@@ -217,7 +221,7 @@ class Fixtures:
                 self._views[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
             else:
                 sql = VIEWS[name]
-                inputs = {ref: self.view(ref) for ref in references(sql)}
+                inputs = {ref: self.view(ref).hint("merge") if ref in MERGED else self.view(ref) for ref in references(sql)}
                 frame = self.spark.sql(sql, **inputs) if inputs else self.spark.sql(sql.format())
                 # The project list is a small table of its own that many configuration views start from.
                 self._views[name] = stage(frame, name) if name == "projects" else frame

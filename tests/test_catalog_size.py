@@ -45,3 +45,14 @@ def test_find_tool(table, capsys):
     assert rows(found, "request_id", "uuid", "status") == [
         (1, "u1", "found"), (2, None, "standalone"), (3, None, "unknown"), (4, None, "unknown"),
     ]
+
+
+def patterns(table):
+    raw = [("u1", "A_x", None, ["Python"]), ("u1", "y", "Y", None), ("u2", "A_z", "Z", []), ("u8", "q", "Q", [])]
+    return table(raw, "uuid string, id string, title string, languages array<string>")
+
+
+def test_normalize_patterns(table, capsys):
+    found = catalog.normalize_patterns(patterns(table), table(TOOLS, TOOL_COLUMNS))
+    assert joins(found, capsys) == (0, 1)
+    assert rows(found, "uuid", "id", "title") == [("u1", "x", "A_x"), ("u1", "y", "Y"), ("u2", "A_z", "Z")]

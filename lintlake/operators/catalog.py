@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lintlake.functions import languages as lang, text
-from lintlake.functions.scale import catalog_join, lookup_join
+from lintlake.functions.scale import catalog_join
 
 # Severity levels, categories and sub-categories a pattern may carry.
 LEVELS = ["Info", "Warning", "High", "Error"]
@@ -86,8 +86,8 @@ def find_tool(requests: DataFrame, tools: DataFrame) -> DataFrame:
 def tool_patterns(tools: DataFrame, patterns: DataFrame) -> DataFrame:
     """Every tool with its patterns (none: one row without pattern)."""
     own = patterns.drop("version").withColumnRenamed("languages", "pattern_languages")
-    known = lookup_join(own, tools, ["uuid"], spread=["id"], how="inner")
-    bare = tools.join(patterns.select("uuid").distinct(), "uuid", "left_anti")
+    known = catalog_join(own, tools, ["uuid"], how="inner")
+    bare = catalog_join(tools, patterns.select("uuid").distinct(), ["uuid"], how="left_anti")
     return known.unionByName(bare, allowMissingColumns=True)
 
 

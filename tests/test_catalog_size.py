@@ -56,3 +56,15 @@ def test_normalize_patterns(table, capsys):
     found = catalog.normalize_patterns(patterns(table), table(TOOLS, TOOL_COLUMNS))
     assert joins(found, capsys) == (0, 1)
     assert rows(found, "uuid", "id", "title") == [("u1", "x", "A_x"), ("u1", "y", "Y"), ("u2", "A_z", "Z")]
+
+
+def test_tool_patterns(table, capsys):
+    found = catalog.tool_patterns(table(TOOLS, TOOL_COLUMNS), patterns(table))
+    assert joins(found, capsys) == (0, 2)
+    assert rows(found, "uuid", "id") == [("u1", "A_x"), ("u1", "y"), ("u2", "A_z"), ("u3", None)]
+
+
+@pytest.mark.parametrize("view", ["raw_patterns_csv", "saved_patterns", "fetched_patterns"])
+def test_views(spark, capsys, view):
+    broadcast, merged = joins(Fixtures(spark, "/root/testdata/sf0.001").view(view), capsys)
+    assert broadcast == 0 and merged

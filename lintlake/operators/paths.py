@@ -56,6 +56,9 @@ def _values(kind: str, value: Column | None = None) -> Column:
 
 #: Regexes that are tried together, as one alternation.
 CHUNK = 64
+#: Rules of a depth that are broadcast: the bytes of their strings and of their rows.
+BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 64
 _EXTENSION, _ANY = 0, -1
 _INDEX = ["project", "kind", "depth", "key", "regex"]
 # Back references, quotations, named groups and comments mean something else, or nothing, beside other regexes.
@@ -110,18 +113,20 @@ def rule_index(rules: DataFrame) -> DataFrame:
 def _without(files: DataFrame, rules: DataFrame, *kinds: str) -> DataFrame:
     """Files that no rule of these kinds hits: one anti join per depth at which there are rules.
 
-    Depths come to the driver; there are no more of them than components in the longest rule.
+    Depths come to the driver with their sizes; there are no more of them than components in the longest rule. Rules of a
+    depth are broadcast once if they are measured to be small, else merged with the files, in copies that spread hot keys.
     """
     index = rules if "depth" in rules.columns else stage(rule_index(rules.filter(F.col("kind").isin(*kinds))), "rule-index")
     index = index.filter(F.col("kind").isin(*kinds))
-    depths = sorted(r["depth"] for r in index.select("depth").distinct().collect())
-    salts = salt_count(files.sparkSession)
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("project", "key", "regex")), F.lit(ROW_BYTES))
+    depths = sorted(map(tuple, index.groupBy("depth").agg(F.sum(size)).collect()))
     filename = files["filename"]
-    for depth in depths:
+    for depth, n_bytes in depths:
+        salts = 1 if n_bytes <= BROADCAST_BYTES else salt_count(files.sparkSession)
         here = index.filter(F.col("depth") == depth).select(
             F.col("project").alias("_project"), F.col("key").alias("_key"), F.col("regex").alias("_regex"),
             F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-        )
+        ).hint("broadcast" if n_bytes <= BROADCAST_BYTES else "merge")
         hit = (files["project"] == F.col("_project")) & (F.pmod(F.xxhash64(filename), F.lit(salts)) == F.col("_salt"))
         if depth != _ANY:
             part = F.substring_index(filename, ".", -1) if depth == _EXTENSION else F.substring_index(filename, "/", depth)

@@ -9,9 +9,10 @@ difference of the level. Two rows that link agree in a whole part, so only rows
 same contents) can meet; no frequent n-gram brings unrelated rows together, since a part holds several. For looser thresholds
 parts would hold too few n-grams. There a row of size n meets others by its first n - ceil(tn) + m n-grams in one order for
 all rows, m being n / ``SHARE`` but 1 at least; two rows that link must share as many of them as the smaller m, so a row that
-shares fewer with all others together is discarded at once. The order puts the ``FREQUENT`` most frequent n-grams of a sample of
-about ``SAMPLE_DOCUMENTS`` documents last, so that they bring rows together only if little else is in them. The sample
-decides how much is compared, never what links. Every set of rows that meet, held together by its smallest member, is cut into blocks of ``BLOCK`` rows, and the product is formed block by
+shares fewer with all others together is discarded at once, and a row leaves those sets of rows that it meets by so few n-grams
+that, whatever a partner leaves, one set that both are in remains. The order is by frequency, counted over all texts in
+``BUCKETS`` of hashes, rare n-grams first, so that frequent ones bring rows together only if little else is in them. Counts
+decide how much is compared, never what links. Every set of rows that meet, held together by its smallest member, is cut into blocks of ``BLOCK`` rows, and the product is formed block by
 block: overlap counts accumulate over slices of the columns that the blocks share; rows whose shared columns are fewer
 than their size allows are discarded before. Of the links in a block only a spanning forest leaves the task, which is all
 that components need, so copies never become all their pairs.
@@ -29,7 +30,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lintlake.functions.scale import stage
 from lintlake.llm.graph import components
@@ -39,8 +40,9 @@ from lintlake.llm.tokens import SpanHash, mixed, slices
 BLOCK = 256
 #: Thresholds in percent from which rows meet by parts.
 PARTS_FROM = 85
-SAMPLE_DOCUMENTS = 20_000
-FREQUENT = 1 << 17
+#: Buckets in which n-grams are counted, by the leading bits of their hashes, and how many of them make a row of counts.
+BUCKETS = 1 << 20
+CHUNK = 1 << 10
 #: One in so many n-grams of a row must be shared within the prefixes.
 SHARE = 20
 #: Columns of the incidence matrix that are multiplied at once.
@@ -129,37 +131,46 @@ class Levels:
         return np.concatenate(keys)
 
 
+def bucket(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64)
+
+
 class Prefixes:
-    """The first n-grams of each set, frequent ones last."""
+    """The first n-grams of each set, those of frequent buckets last."""
 
-    def __init__(self, percent: int, frequent: np.ndarray) -> None:
-        self.percent, self.frequent = percent, np.sort(frequent)
+    def __init__(self, percent: int, levels: np.ndarray) -> None:
+        self.percent, self.levels = percent, levels
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
         size = len(grams) - -(-self.percent * len(grams) // 100) + max(1, len(grams) // SHARE)
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, grams), len(self.frequent) - 1)
-            common = self.frequent[at] == grams
-            grams = np.concatenate((grams[~common], grams[common]))
-        return grams[:size]
+        return grams[np.argsort(self.levels[bucket(grams)], kind="stable")][:size]
 
 
-def frequent_grams(documents: DataFrame, width: int) -> np.ndarray:
-    """The most frequent n-grams of a bounded sample of different texts, each text counted once."""
-    text = documents["text"].cast("string")
-    hashed = documents.select(text.alias("text"), F.xxhash64(text).alias("hash")).filter(text.isNotNull())
-    share = SAMPLE_DOCUMENTS / max(1, hashed.count())
-    sampled = hashed.filter(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30)).dropDuplicates(["hash"])
+def frequency_levels(documents: DataFrame, width: int) -> np.ndarray:
+    """Per bucket 0, or from 1 on how far its n-grams, counted over all texts, exceed what chance puts into one."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = SpanHash()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = SpanHash(), np.zeros(BUCKETS, dtype=np.int64)
         for batch in slices(batches, "text"):
-            grams = np.concatenate(shingle_sets(batch.column("text"), width, hashes))
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], ["gram"])
-
-    counted = sampled.select("text").mapInArrow(run, "gram long").groupBy("gram").count().filter("count >= 3")
-    rows = counted.orderBy(F.desc("count"), "gram").limit(FREQUENT).select("gram").toArrow()
-    return rows["gram"].to_numpy().view(np.uint64)
+            counts += np.bincount(bucket(np.concatenate(shingle_sets(batch.column("text"), width, hashes))), minlength=BUCKETS)
+        if counts.any():
+            # Most counts of a task are small, and zero bytes compress well.
+            rows = [row.tobytes() for row in counts.reshape(-1, CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array(rows, pa.binary())], ["chunk", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(row.as_py(), dtype=np.int64) for row in table["counts"])
+        return pa.table({"chunk": table["chunk"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    texts = documents.select(documents["text"].cast("string").alias("text")).filter("text is not null")
+    schema = "chunk int, counts binary"
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for row in texts.mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).collect():
+        counts[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], dtype=np.int64)
+    mean = counts.sum() / BUCKETS
+    usual = max(2.0, mean + 4 * mean**0.5)
+    above = np.maximum(counts, 1) / usual
+    return np.where(above > 1, 1 + 2 * np.log2(above), 0).astype(np.uint8)
 
 
 @cache
@@ -171,10 +182,10 @@ def rows_of(documents: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, keys): set size, 128 bits that identify the set, and what it meets others by."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     by_parts = percent >= PARTS_FROM
-    frequent = np.zeros(0, dtype=np.uint64) if by_parts else frequent_grams(documents, width)
+    frequency = np.zeros(0, dtype=np.uint8) if by_parts else frequency_levels(documents, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, levels = SpanHash(), Levels(percent) if by_parts else Prefixes(percent, frequent)
+        hashes, levels = SpanHash(), Levels(percent) if by_parts else Prefixes(percent, frequency)
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"), width, hashes)
             keys = [levels.keys(s) if len(s) else s for s in sets]
@@ -253,18 +264,22 @@ def join(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     classes = stage(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "jaccard-classes")
 
     parts = rows.filter("n_shingles > 0 and doc_id is not null").select(F.explode("keys").alias("key"), "s1")
-    meeting = (
-        parts.groupBy("key").agg(F.min("s1").alias("leader"), F.max("s1").alias("other")).filter("leader != other").select("key", "leader")
-    )
-    # Neither side has a bound: merged whatever the size, not broadcast while it happens to be small.
-    met = parts.join(meeting.hint("merge"), "key").groupBy("leader", "s1").agg(F.count("*").alias("met"))
-    met = stage(met, "jaccard-met")
+    # Parts move once, and are sorted: leaders come from a window, not from a table of keys that the parts would meet again.
+    by_key = Window.partitionBy("key")
+    led = parts.select("s1", F.min("s1").over(by_key).alias("leader"), F.max("s1").over(by_key).alias("other"))
+    met = stage(led.filter("leader != other").groupBy("leader", "s1").agg(F.count("*").alias("met")), "jaccard-met")
     # A partner has at least percent of the row's size, and so needs at least this many common keys; copies of a text only
-    # raise the count.
+    # raise the count. A row leaves its smallest sets while they hold less than half of them: of two partners' common
+    # keys, some are then left in a set that both stay in.
     need = F.lit(1) if percent >= PARTS_FROM else F.greatest(F.lit(1), F.floor(F.col("n") * percent / (100 * SHARE)))
-    enough = met.groupBy("s1").agg(F.sum("met").alias("met")).join(classes, "s1").filter(F.col("met") >= need)
-    members = stage(met.select("leader", "s1").join(enough.select("s1", "rep"), "s1").select("leader", "rep"), "jaccard-members")
-    blocks = members.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    of_row = Window.partitionBy("s1", "rep")
+    sofar = of_row.orderBy("met", "leader").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    weighed = met.join(classes.select("s1", "rep", "n"), "s1").select(
+        "leader", "rep", need.alias("need"), F.sum("met").over(of_row).alias("all"), F.sum("met").over(sofar).alias("sofar")
+    )
+    members = stage(weighed.filter("all >= need and 2 * sofar >= need").select("leader", "rep"), "jaccard-members")
+    counted = members.groupBy("leader").agg(F.count("*").alias("rows")).filter("rows > 1")
+    blocks = counted.select("leader", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     placed = (
         members.join(blocks, "leader")
